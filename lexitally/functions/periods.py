@@ -33,7 +33,7 @@ def window_name(ts, windows=K.TIME_WINDOWS):
     The windows are a short configured list, so the range test is a chain of
     comparisons in the scan's projection rather than a range join.
     """
-    epoch = F.unix_micros(ts)
+    epoch = F.unix_micros(F.col(ts).cast("timestamp"))
     return F.coalesce(
         *[F.when((epoch > start * 1_000_000) & (epoch < end * 1_000_000), name) for name, start, end in windows]
     )

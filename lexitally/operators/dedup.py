@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexitally import constants as K
+from lexitally.operators.ordering import running_total
 
 
 def keep_first(df, keys, order):
@@ -74,28 +75,11 @@ def collection_shortfall(collected, topic="topic", target=K.TOPIC_TARGET):
     )
 
 
-def dense_id(df, order, name="item_id", buckets=200):
-    """Ids 1..n in the order of a unique numeric column, as the first column.
-
-    No global window: quantiles of the order column cut the table into ranges,
-    each range is numbered on its own, and range offsets come from the counts.
-    The cut points only balance the work; ids are exact wherever they fall.
-    """
-    cuts = df.select(
-        F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10_000).alias("cuts")
-    ).first()["cuts"]
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts or []))]).cast(f"array<{dict(df.dtypes)[order]}>")
-    ranged = df.drop(name).withColumn("_range", F.size(F.filter(bounds, lambda b: b < F.col(order))))
-    before = Window.partitionBy(F.lit(1)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_range")
-        .agg(F.count(F.lit(1)).alias("_n"))  # at most `buckets` rows
-        .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    inside = Window.partitionBy("_range").orderBy(order)
-    numbered = ranged.withColumn("_i", F.row_number().over(inside)).join(F.broadcast(offsets), "_range")
+def dense_id(df, order, name="item_id"):
+    """Ids 1..n in the order of a unique numeric column, as the first column."""
     rest = [c for c in df.columns if c != name]
-    return numbered.select((F.col("_offset") + F.col("_i")).alias(name), *rest)
+    numbered = running_total(df.select(*rest).withColumn("_one", F.lit(1).cast("long")), order, "_one", "_before")
+    return numbered.select((F.col("_before") + 1).alias(name), *rest)
 
 
 def duplicate_count(df, *keys):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lexitally import constants as K
 from lexitally.functions.guards import row_count, small
 from lexitally.functions.labels import display_name, negative_or_not, positive_or_not
+from lexitally.operators.ordering import running_total
 
 
 def group_counts(df, *by, name="count"):
@@ -127,20 +128,37 @@ def topic_profile(df, topic="topic", key="post_id", ts="created_at", n_words="wo
 
 
 def describe(df, column):
-    """Count, mean, deviation, extremes and interpolated quartiles as one row."""
-    quartile = F.percentile(column, [0.25, 0.5, 0.75])
-    row = df.agg(
+    """Count, mean, deviation, extremes and interpolated quartiles as one row.
+
+    Quartiles are read off the running count over the distinct values, so no
+    task ever holds all of them.
+    """
+    values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_total(values, column, "_n", "_before")
+    n = values.agg(F.sum("_n")).scalar()
+
+    def at(position):
+        here = (F.col("_before") <= position) & (position < F.col("_before") + F.col("_n"))
+        return F.max(F.when(here, F.col(column))).cast("double")
+
+    places = {q: (n - 1) * F.lit(q) for q in (0.25, 0.5, 0.75)}
+    read = ranked.agg(
+        *[at(F.floor(p)).alias(f"_lo{q}") for q, p in places.items()],
+        *[at(F.ceil(p)).alias(f"_hi{q}") for q, p in places.items()],
+    )
+
+    def quartile(q):
+        lo, hi = F.col(f"`_lo{q}`"), F.col(f"`_hi{q}`")
+        return lo + (hi - lo) * (places[q] - F.floor(places[q]))
+
+    quartiles = read.select(F.struct(*[quartile(q).alias(f"p{int(q * 100)}") for q in places])).scalar()
+    return df.agg(
         F.count(column).alias("count"),
-        F.avg(column).alias("mean"),
-        F.stddev_samp(column).alias("std"),
+        F.round(F.avg(column), 6).alias("mean"),
+        F.round(F.stddev_samp(column), 6).alias("std"),
         F.min(column).cast("double").alias("min"),
-        quartile.alias("q"),
         F.max(column).cast("double").alias("max"),
-    )
-    return row.select(
-        "count", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min",
-        F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max",
-    )
+    ).withColumns({f"p{int(q * 100)}": quartiles[f"p{int(q * 100)}"] for q in places})
 
 
 def temporal_coverage(df, ts="created_at"):

@@ -51,3 +51,23 @@ def cut_lineage(df):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df, name):
+    """Write `df` once as a table in the shared folder and read it back.
+
+    For a stage that several later jobs read: columnar, prunable, with sizes
+    the optimizer can see, and safe from the loss of an executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def spread(df):
+    """Use every core for a scan that is too small to be split that far.
+
+    A table with at least as many splits as cores comes back as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
