@@ -1 +1,3 @@
 """The library's operators as named queries over the given tables, with SQL to check them."""
+
+from catalog.registry import ORACLE, QUERIES  # noqa: F401

@@ -114,7 +114,7 @@ def _sql_hits(terms):
     ),
 )
 def relevance(spark, sf):
-    return X.relevant_topics(clean(spark, sf).select("post_id", "text_clean"), "text_clean", KEYWORDS, WHOLE, 3)
+    return X.relevant_topics(clean(spark, sf).select("post_id", "text_clean"), "text_clean", KEYWORDS, WHOLE, 3).drop("text_clean")
 
 
 @query("B9_stop_word_removal", sql_with(SQL_CLEAN, "SELECT post_id, array_to_string(toks, ' ') AS text_no_stopwords, len(toks)::INTEGER AS word_count_no_stopwords FROM prep"))
@@ -208,7 +208,7 @@ SQL_WINDOWS = "win(name, s, e, r) AS (VALUES " + ", ".join(f"('{n}', {s}, {e}, {
 SQL_HITS = SQL_WINDOWS + """,
 hits AS (SELECT CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'shop' ELSE 'site' END AS topic, user_id AS post_id, name AS window_name, r AS window_rank,
   CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 1 ELSE 2 END AS query_rank, -epoch_us(ts) AS hit_rank
-  FROM events JOIN win ON epoch_us(ts) > s * 1000000 AND epoch_us(ts) < e * 1000000)"""
+  FROM events JOIN win ON epoch_us(ts) > s::BIGINT * 1000000 AND epoch_us(ts) < e::BIGINT * 1000000)"""
 
 
 def hits(spark, sf):

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from lexitally import constants as K
 from lexitally.functions.guards import small, small_array
+from lexitally.functions.numbers import settled
 from lexitally.functions.text import bigrams, slug
 from lexitally.operators.terms import ID, TERM, TOPIC, min_max_within, term_counts, topic_term_stats, topic_vs_rest_tfidf
-from lexitally.session import cut_lineage
+from lexitally.session import stored
 
 
 def positional_scores(docs, token_array="tokens", topic=TOPIC):
@@ -49,7 +50,7 @@ def bigram_scores(bigram_tfidf, topic=TOPIC):
     )
     scaled = min_max_within(parts, list(K.BIGRAM_WEIGHTS), topic)
     score = reduce(add, [w * F.col(f"{c}_norm") for c, w in K.BIGRAM_WEIGHTS.items()])
-    return scaled.withColumn("custom_bigram_score", F.round(score, 6))
+    return scaled.withColumn("custom_bigram_score", settled(score, 6))
 
 
 def bigram_boost(scored_bigrams, topic=TOPIC):
@@ -75,21 +76,21 @@ def term_scores(docs, term_stats, tfidf_stats, scored_bigrams, label="final_sent
         .na.fill(0.0, ["tfidf_score", "sentiment_association_score", "positional_score", "bigram_boost_score"])
     )
     # Sums of fractions differ in the last bits between runs; settle them before scaling.
-    settled = joined.withColumns(
+    steady = joined.withColumns(
         {c: F.round(c, 12) for c in ("sentiment_association_score", "positional_score")}
     )
-    scaled = min_max_within(settled, list(K.TERM_WEIGHTS), topic)
+    scaled = min_max_within(steady, list(K.TERM_WEIGHTS), topic)
     score = reduce(add, [w * F.col(f"{c}_norm") for c, w in K.TERM_WEIGHTS.items()])
-    return scaled.withColumn("custom_term_score", F.round(score, 6))
+    return scaled.withColumn("custom_term_score", settled(score, 6))
 
 
-def fit_scores(docs, label="final_sentiment", token_array="tokens", topic=TOPIC, id_col=ID, store=cut_lineage):
+def fit_scores(docs, label="final_sentiment", token_array="tokens", topic=TOPIC, id_col=ID, store=stored):
     """Term and bigram score tables fitted on the given documents.
 
     The bigram table feeds the term table and both feed the document scores, so
-    each is stored once (a checkpoint in the shared folder by default).
+    each is written once (a table in the shared folder) and read back.
     """
-    scored_bigrams = store(bigram_scores(topic_vs_rest_tfidf(docs, (2, 2), token_array, topic, id_col), topic))
+    scored_bigrams = store(bigram_scores(topic_vs_rest_tfidf(docs, (2, 2), token_array, topic, id_col), topic), "bigram-scores")
     scored_terms = term_scores(
         docs,
         topic_term_stats(docs, token_array, topic),
@@ -99,7 +100,7 @@ def fit_scores(docs, label="final_sentiment", token_array="tokens", topic=TOPIC,
         token_array,
         topic,
     )
-    return store(scored_terms), scored_bigrams
+    return store(scored_terms, "term-scores"), scored_bigrams
 
 
 def _document_sums(docs, scored_terms, scored_bigrams, token_array, topic, id_col, own_topic_only):
@@ -172,7 +173,7 @@ MATCHES = ["matched_unigram_count", "matched_bigram_count"]
 
 
 def _document_columns():
-    return [F.round(c, 6).alias(f"document_{c}") for c in SCORES] + [F.col(c) for c in MATCHES]
+    return [settled(c, 6).alias(f"document_{c}") for c in SCORES] + [F.col(c) for c in MATCHES]
 
 
 def own_topic_scores(docs, scored_terms, scored_bigrams, token_array="tokens", topic=TOPIC, id_col=ID):
@@ -199,7 +200,7 @@ def all_topic_scores(docs, scored_terms, scored_bigrams, topics, token_array="to
     slugs = sorted({_python_slug(t) for t in topics})
     wide = scored.withColumn("_slug", slug("scored_topic")).groupBy(id_col).pivot("_slug", slugs)
     return wide.agg(
-        *[F.round(F.first(c), 6).alias(c) for c in SCORES], *[F.first(c).alias(c) for c in MATCHES]
+        *[settled(F.first(c), 6).alias(c) for c in SCORES], *[F.first(c).alias(c) for c in MATCHES]
     )
 
 
@@ -211,11 +212,11 @@ def score_summary(scored, topic=TOPIC, id_col=ID):
     """Mean and best document scores per topic."""
     return scored.groupBy(topic).agg(
         F.count(id_col).alias("document_count"),
-        F.round(F.avg("document_custom_score"), 6).alias("mean_document_custom_score"),
-        F.round(F.max("document_custom_score"), 6).alias("max_document_custom_score"),
-        F.round(F.avg("document_unigram_score"), 6).alias("mean_document_unigram_score"),
-        F.round(F.avg("document_bigram_score"), 6).alias("mean_document_bigram_score"),
-        F.round(F.avg("document_positional_score"), 6).alias("mean_document_positional_score"),
+        settled(F.avg("document_custom_score"), 6).alias("mean_document_custom_score"),
+        settled(F.max("document_custom_score"), 6).alias("max_document_custom_score"),
+        settled(F.avg("document_unigram_score"), 6).alias("mean_document_unigram_score"),
+        settled(F.avg("document_bigram_score"), 6).alias("mean_document_bigram_score"),
+        settled(F.avg("document_positional_score"), 6).alias("mean_document_positional_score"),
     )
 
 
@@ -223,8 +224,8 @@ def split_score_summary(scored, split="split", id_col=ID):
     """Mean scores and matches per split, and the share of documents without a match."""
     return scored.groupBy(split).agg(
         F.count(id_col).alias("document_count"),
-        F.round(F.avg("document_custom_score"), 4).alias("mean_document_custom_score"),
-        F.round(F.avg("matched_unigram_count"), 4).alias("mean_matched_unigram_count"),
-        F.round(F.avg("matched_bigram_count"), 4).alias("mean_matched_bigram_count"),
+        settled(F.avg("document_custom_score"), 4).alias("mean_document_custom_score"),
+        settled(F.avg("matched_unigram_count"), 4).alias("mean_matched_unigram_count"),
+        settled(F.avg("matched_bigram_count"), 4).alias("mean_matched_bigram_count"),
         F.round(F.avg((F.col("matched_unigram_count") == 0).cast("int")) * 100, 2).alias("pct_zero_unigram_match"),
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lexitally import constants as K
 from lexitally.functions.guards import row_count, small, small_array
+from lexitally.functions.numbers import settled
 from lexitally.functions.text import content_tokens, long_tokens, ngrams, not_blank
 
 ID, TOPIC, TERM = "post_id", "topic", "term"
@@ -128,7 +129,7 @@ def min_max_within(df, columns, by=TOPIC, digits=6):
     scaled = {}
     for c in columns:
         lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
-        scaled[f"{c}_norm"] = F.when(hi == lo, F.lit(0.0)).otherwise(F.round((F.col(c) - lo) / (hi - lo), digits))
+        scaled[f"{c}_norm"] = F.when(hi == lo, F.lit(0.0)).otherwise(settled((F.col(c) - lo) / (hi - lo), digits))
     return joined.withColumns(scaled).drop(*[f"_{side}_{c}" for side in ("lo", "hi") for c in columns])
 
 

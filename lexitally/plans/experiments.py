@@ -12,6 +12,7 @@ from lexitally.operators.models import (
 )
 from lexitally.operators.split import stratified_folds, stratified_split
 from lexitally.operators.terms import ID, l2_normalise
+from lexitally.session import stored
 
 
 def _tag(df, **values):
@@ -31,9 +32,9 @@ def bayes_matrix(docs, targets, id_col=ID, token_array="tokens"):
     """
     runs = []
     for target, (label, classes) in targets.items():
-        parted = stratified_split(docs, id_col, label)
+        parted = stored(stratified_split(docs, id_col, label), "split")
         for representation in ("tfidf", "bow"):
-            features = text_features(parted, representation, token_array=token_array, id_col=id_col)
+            features = stored(text_features(parted, representation, token_array=token_array, id_col=id_col), "features")
             for weighted in (False, True):
                 guess = naive_bayes(features, parted, label, classes, weighted, id_col)
                 runs.append(
@@ -49,9 +50,9 @@ def neighbour_matrix(docs, targets, id_col=ID, token_array="tokens", normalise=F
     """Nearest-neighbour predictions for targets x representations; class weights do not apply to it."""
     runs = []
     for target, (label, classes) in targets.items():
-        parted = stratified_split(docs, id_col, label)
+        parted = stored(stratified_split(docs, id_col, label), "split")
         for representation in ("tfidf", "bow"):
-            features = text_features(parted, representation, token_array=token_array, id_col=id_col)
+            features = stored(text_features(parted, representation, token_array=token_array, id_col=id_col), "features")
             features = l2_normalise(features, id_col) if normalise else features
             guess = knn(features, parted, label, classes, id_col=id_col)
             runs.append(_tag(guess.withColumnRenamed(label, "actual"), target=target, representation=representation))
@@ -62,7 +63,7 @@ def forest_matrix(docs, targets, id_col=ID, token_array="tokens", trees=K.LABEL_
     """Random-forest predictions for targets x representations x weightings."""
     runs = []
     for target, (label, classes) in targets.items():
-        parted = stratified_split(docs, id_col, label).withColumn("_terms", long_tokens(token_array))
+        parted = stored(stratified_split(docs, id_col, label), "split").withColumn("_terms", long_tokens(token_array))
         for representation in ("tfidf", "bow"):
             vectors = vectorise(parted, representation)
             for weighted in (False, True):
@@ -83,10 +84,10 @@ def representation_pivot(scores, by, measure="macro_f1", representations=("bow",
 
 def ngram_predictions(docs, label, classes, ranges=None, id_col=ID, token_array="tokens"):
     """Weighted Naive Bayes on TF-IDF unigrams, bigrams and both."""
-    parted = stratified_split(docs, id_col, label)
+    parted = stored(stratified_split(docs, id_col, label), "split")
     runs = []
     for name, ngram_range in (ranges or K.NGRAM_RANGES).items():
-        features = text_features(parted, "tfidf", ngram_range, token_array, id_col)
+        features = stored(text_features(parted, "tfidf", ngram_range, token_array, id_col), "features")
         guess = naive_bayes(features, parted, label, classes, True, id_col)
         runs.append(_tag(guess.withColumnRenamed(label, "actual"), representation=name))
     return _stack(runs)
@@ -112,12 +113,12 @@ def bayes_folds(docs, label, classes, folds=K.FOLDS, id_col=ID, token_array="tok
 
     Folds are independent jobs over one assignment of documents to folds.
     """
-    assigned = stratified_folds(docs, id_col, label, folds)
+    assigned = stored(stratified_folds(docs, id_col, label, folds), "folds")
     runs = []
     for fold in range(folds):
         parted = assigned.withColumn("split", F.when(F.col("fold") == fold, "test").otherwise("train"))
         for representation in ("bow", "tfidf"):
-            features = text_features(parted, representation, token_array=token_array, id_col=id_col)
+            features = stored(text_features(parted, representation, token_array=token_array, id_col=id_col), "features")
             if model == "bayes":
                 guess = naive_bayes(features, parted, label, classes, False, id_col)
             else:
@@ -129,7 +130,7 @@ def bayes_folds(docs, label, classes, folds=K.FOLDS, id_col=ID, token_array="tok
 
 def forest_folds(docs, label, classes, folds=K.FOLDS, id_col=ID, token_array="tokens", trees=K.TOPIC_TREES):
     """The same for the random forest."""
-    assigned = stratified_folds(docs, id_col, label, folds).withColumn("_terms", long_tokens(token_array))
+    assigned = stored(stratified_folds(docs, id_col, label, folds), "folds").withColumn("_terms", long_tokens(token_array))
     runs = []
     for fold in range(folds):
         parted = assigned.withColumn("split", F.when(F.col("fold") == fold, "test").otherwise("train"))
@@ -158,7 +159,7 @@ def enriched_predictions(parted, scored_columns, label, classes, id_col=ID, toke
     runs = []
     representations = {"bow": ("bow", []), "enriched": ("tfidf", list(scored_columns))}
     for name, (kind, columns) in representations.items():
-        features = text_features(parted, kind, token_array=token_array, id_col=id_col)
+        features = stored(text_features(parted, kind, token_array=token_array, id_col=id_col), "features")
         if columns:
             features = with_score_columns(features, parted, columns, id_col)
         for model in models:
