@@ -109,8 +109,8 @@ def label_split(spark, sf):
     return stored(stratified_split(labelled(spark, sf), "post_id", "sentiment_3class"), "split")
 
 
-def _features(parted, kind):
-    return stored(L.text_features(parted, kind), "features")
+def _features(parted, kind, label):
+    return stored(L.text_features(parted, kind, carry=[label]), "features")
 
 
 # --- single models -----------------------------------------------------------------------------
@@ -124,7 +124,7 @@ def normalise(spark, sf):
 
 def topic_bayes(spark, sf):
     parted = topic_split(spark, sf)
-    return L.naive_bayes(_features(parted, "bow"), parted, "topic", LANGS)
+    return L.naive_bayes(_features(parted, "bow", "topic"), parted, "topic", LANGS)
 
 
 @query("H4_naive_bayes", sql_with(SQL_TOPIC_SPLIT, sql_features("bow"), sql_bayes("topic", False), "SELECT post_id, actual AS topic, predicted FROM pred"))
@@ -134,7 +134,7 @@ def naive_bayes(spark, sf):
 
 def label_bayes(spark, sf):
     parted = label_split(spark, sf)
-    return L.naive_bayes(_features(parted, "tfidf"), parted, "sentiment_3class", K.LABELS, True)
+    return L.naive_bayes(_features(parted, "tfidf", "sentiment_3class"), parted, "sentiment_3class", K.LABELS, True)
 
 
 SQL_LABEL_BAYES = sql_with(SQL_LABEL_SPLIT, sql_features("tfidf"), sql_bayes("sentiment_3class", True), "{rest}")
@@ -149,23 +149,22 @@ def weighted_bayes(spark, sf):
 def log_probabilities(spark, sf):
     parted = label_split(spark, sf)
     train = parted.where(F.col("split") == "train")
-    weighted = L.small(L.class_weights(train.select("sentiment_3class"), "sentiment_3class"))
-    features = L.text_features(parted, "tfidf").where(F.col("split") == "train").drop("split")
-    terms, _ = L.fit_naive_bayes(features, train.join(weighted, "sentiment_3class"), "sentiment_3class", K.LABELS, "weight")
+    features = L.text_features(parted, "tfidf", carry=["sentiment_3class"]).where(F.col("split") == "train")
+    terms, _ = L.fit_naive_bayes(features, train, "sentiment_3class", K.LABELS, True)
     return terms.select("term", *[F.round(f"_lp{k}", 9).alias(c) for k, c in enumerate(K.LABELS)])
 
 
 @query("H6_nearest_neighbours", sql_with(SQL_LABEL_SPLIT, sql_features("tfidf"), sql_knn("sentiment_3class"), "SELECT test_id, train_id, round(distance2, 6) AS distance2, rank::INTEGER AS rank, neighbour_label FROM near"))
 def neighbours(spark, sf):
     parted = label_split(spark, sf)
-    near = L.nearest_neighbours(_features(parted, "tfidf"), parted, "sentiment_3class")
+    near = L.nearest_neighbours(_features(parted, "tfidf", "sentiment_3class"), parted, "sentiment_3class")
     return near.select("test_id", "train_id", F.round("distance2", 6).alias("distance2"), "rank", "neighbour_label")
 
 
 @query("H6_knn_normalised_topics", sql_with(SQL_TOPIC_SPLIT, sql_features("bow"), sql_unit("f", "u"), sql_knn("topic", feats="u"), "SELECT post_id, actual AS topic, predicted FROM pred"))
 def knn_topics(spark, sf):
     parted = topic_split(spark, sf)
-    return L.knn(l2_normalise(_features(parted, "bow")), parted, "topic", LANGS)
+    return L.knn(l2_normalise(_features(parted, "bow", "topic")), parted, "topic", LANGS)
 
 
 @query("H7_random_forest_topics")

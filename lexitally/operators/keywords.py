@@ -6,28 +6,24 @@ from operator import add
 from pyspark.sql import functions as F
 
 from lexitally import constants as K
-from lexitally.functions.guards import small
 from lexitally.functions.text import alphabetic_tokens, drop_tokens, ngrams
 from lexitally.operators.models import fit_naive_bayes
-from lexitally.operators.reports import class_weights
 from lexitally.operators.terms import ID, TERM, bag_of_words, term_counts, top_n, top_n_overall, vocabulary
 
 
-def keyword_counts(docs, text, ngram_range, stop_words=K.KEYWORD_STOP_WORDS, id_col=ID):
+def keyword_counts(docs, text, keys, ngram_range, stop_words=K.KEYWORD_STOP_WORDS):
     """Counts of alphabetic n-grams, paired after stop words are gone."""
-    kept = docs.where(F.col(text).isNotNull()).select(id_col, drop_tokens(alphabetic_tokens(text), stop_words).alias("_words"))
-    return term_counts(kept.withColumn("_ngrams", ngrams("_words", ngram_range)), "_ngrams", (id_col,))
+    kept = docs.select(*keys, drop_tokens(alphabetic_tokens(text), stop_words).alias("_words"))
+    return term_counts(kept.withColumn("_ngrams", ngrams("_words", ngram_range)), "_ngrams", keys)
 
 
 def class_log_probs(docs, text, label, ngram_range=(1, 1), min_df=K.UNIGRAM_KEYWORD_MIN_DF, classes=K.LABELS, stop_words=K.KEYWORD_STOP_WORDS, id_col=ID):
     """Per term: log probability in every class under balanced weights, and its total count."""
-    counts = keyword_counts(docs, text, ngram_range, stop_words, id_col)
-    kept = bag_of_words(counts, vocabulary(counts, docs, min_df, None))
-    labelled = docs.where(F.col(text).isNotNull()).select(id_col, label)
-    weighted = labelled.join(small(class_weights(labelled, label, "_class_weight")), label)
-    terms, _ = fit_naive_bayes(kept, weighted, label, classes, "_class_weight", id_col)
-    totals = kept.groupBy(TERM).agg(F.sum("value").alias("total_count"))
-    return terms.join(totals, TERM)
+    texts = docs.where(F.col(text).isNotNull())
+    counts = keyword_counts(texts, text, (id_col, label), ngram_range, stop_words)
+    kept = bag_of_words(counts, vocabulary(counts, texts, min_df, None))
+    terms, _ = fit_naive_bayes(kept, texts, label, classes, True)
+    return terms.join(kept.groupBy(TERM).agg(F.sum("value").alias("total_count")), TERM)
 
 
 def discriminative_terms(log_probs, classes=K.LABELS, n=K.TOP_KEYWORDS):

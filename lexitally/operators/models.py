@@ -5,6 +5,8 @@ split). Class lists are closed and given by the caller.
 """
 
 
+from math import log
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
@@ -18,80 +20,93 @@ from lexitally import constants as K
 from lexitally.functions.guards import row_count, small
 from lexitally.operators.reports import class_weights
 from lexitally.operators.terms import ID, TERM, bag_of_words, ngram_counts, tfidf, vocabulary
+from lexitally.session import stored
 
 
 # --- features ------------------------------------------------------------------
 
 
-def text_features(docs, representation="tfidf", ngram_range=(1, 1), token_array="tokens", id_col=ID, split="split", min_df=K.MIN_DF, max_df=K.MAX_DF):
-    """Bag-of-words or TF-IDF rows for all documents, vocabulary and idf from training rows only."""
-    pairs = ngram_counts(docs, ngram_range, token_array, (id_col, split))
+def text_features(docs, representation="tfidf", ngram_range=(1, 1), token_array="tokens", carry=(), id_col=ID, split="split", min_df=K.MIN_DF, max_df=K.MAX_DF):
+    """Bag-of-words or TF-IDF rows for all documents, vocabulary and idf from training rows only.
+
+    `carry` names document columns (labels) to keep on every row, so that
+    fitting needs no join back to the documents.
+    """
+    pairs = ngram_counts(docs, ngram_range, token_array, (id_col, split, *carry))
     train = docs.where(F.col(split) == "train")
     vocab = vocabulary(pairs.where(F.col(split) == "train"), train, min_df, max_df)
     weigh = {"bow": bag_of_words, "tfidf": lambda p, v: tfidf(p, v, id_col=id_col)}[representation]
-    return weigh(pairs, vocab).select(id_col, split, TERM, F.col("value").cast("double").alias("value"))
+    return weigh(pairs, vocab).select(id_col, split, *carry, TERM, F.col("value").cast("double").alias("value"))
 
 
-def with_score_columns(features, docs, columns, id_col=ID, split="split"):
+def with_score_columns(features, docs, columns):
     """Add dense score columns to text features as extra terms named after the columns.
 
     Vocabulary terms hold only letters and digits, so a name with an underscore
     cannot collide with one.
     """
     extra = F.array(*[F.struct(F.lit(c).alias(TERM), F.col(c).cast("double").alias("value")) for c in columns])
-    return features.unionByName(docs.select(id_col, split, F.inline(extra)))
+    keys = [c for c in features.columns if c not in (TERM, "value")]
+    return features.unionByName(docs.select(*keys, F.inline(extra)))
 
 
 # --- Naive Bayes ---------------------------------------------------------------
 
 
-def _log_prob(k):
-    return f"_lp{k}"
+def class_sizes(docs, label, classes):
+    """Rows per class, in the order of `classes`: a few numbers on the driver."""
+    return list(docs.agg(*[F.count_if(F.col(label) == c) for c in classes]).first())
+
 
+def balanced_weights(sizes):
+    """Balanced weight of each class: rows / (classes present x class size)."""
+    present = sum(1 for n in sizes if n)
+    return [sum(sizes) / (present * n) if n else 0.0 for n in sizes]
 
-def fit_naive_bayes(features, train, label, classes, weight=None, id_col=ID, by=()):
+
+def fit_naive_bayes(features, train, label, classes, weighted=False, store=stored):
     """Multinomial Naive Bayes with smoothing 1 and an unsmoothed class prior.
 
-    Returns (terms, priors): one row per term with a log probability per class,
-    and one row per model with the log priors. `weight` names a column of
-    `train` that scales counts and priors. `by` fits one model per group.
+    `features` are training rows that carry the label. Balanced weights are the
+    same for all rows of a class, so they scale the class sums after the
+    aggregation. The fitted sums are written as a table, one row per term; only
+    a few numbers per class reach the driver. Returns the terms with a log
+    probability per class (`_lp0`, `_lp1`, ...) and the list of log priors.
     """
-    w = F.col(weight) if weight else F.lit(1.0)
-    rows = features.join(train.select(id_col, label, w.alias("_w")), id_col)
-    mass = [F.sum(F.when(F.col(label) == c, F.col("_w") * F.col("value")).otherwise(F.lit(0.0))) for c in classes]
-    sums = rows.groupBy(*by, TERM).agg(*[m.alias(f"_s{k}") for k, m in enumerate(mass)])
-    if by:
-        totals = sums.groupBy(*by).agg(
-            *[F.sum(f"_s{k}").alias(f"_t{k}") for k in range(len(classes))], F.count(F.lit(1)).alias("n_features")
-        )
-        joined = sums.join(small(totals), list(by))
-        size = {k: F.col(f"_t{k}") for k in range(len(classes))}
-        n_features = F.col("n_features")
-    else:
-        total = sums.agg(
-            F.struct(*[F.sum(f"_s{k}").alias(f"t{k}") for k in range(len(classes))], F.count(F.lit(1)).alias("v"))
-        ).scalar()
-        joined, n_features = sums, total["v"]
-        size = {k: total[f"t{k}"] for k in range(len(classes))}
-    terms = joined.select(
-        *by, TERM, *[(F.ln(F.col(f"_s{k}") + 1) - F.ln(size[k] + n_features)).alias(_log_prob(k)) for k in range(len(classes))]
+    sizes = class_sizes(train, label, classes)
+    weights = balanced_weights(sizes) if weighted else [1.0] * len(classes)
+    sums = features.groupBy(TERM).agg(
+        *[
+            (F.lit(w) * F.sum(F.when(F.col(label) == c, F.col("value")).otherwise(F.lit(0.0)))).alias(f"_s{k}")
+            for k, (c, w) in enumerate(zip(classes, weights))
+        ]
+    )
+    sums = store(sums, "bayes-terms")
+    *totals, n_features = sums.agg(*[F.sum(f"_s{k}") for k in range(len(classes))], F.count(F.lit(1))).first()
+    terms = sums.select(
+        TERM,
+        *[(F.ln(F.col(f"_s{k}") + 1) - F.lit(log((t or 0.0) + n_features) if n_features else 0.0)).alias(f"_lp{k}") for k, t in enumerate(totals)],
     )
-    in_class = [F.sum(F.when(F.col(label) == c, w).otherwise(F.lit(0.0))) for c in classes]
-    priors = train.agg(*[F.ln(n / F.sum(w)).alias(f"_prior{k}") for k, n in enumerate(in_class)])
-    return terms, priors
+    mass = [w * n for w, n in zip(weights, sizes)]
+    return terms, [log(m / sum(mass)) if m else float("-inf") for m in mass]
 
 
-def predict_naive_bayes(terms, priors, features, docs, classes, id_col=ID, by=()):
-    """Most probable class per document; documents without a known term get the prior's class."""
+def predict_naive_bayes(terms, priors, features, docs, label, classes, id_col=ID):
+    """Most probable class per document: (id, label, predicted).
+
+    Every document adds a row of zeros to the sums, which keeps documents
+    without a known term and brings their label along without a join.
+    """
     ks = range(len(classes))
-    scored = features.join(terms, [*by, TERM]).select(
-        *by, id_col, *[(F.col("value") * F.col(_log_prob(k))).alias(f"_x{k}") for k in ks]
+    scored = features.join(terms, TERM).select(
+        id_col, F.lit(None).cast("string").alias(label), *[(F.col("value") * F.col(f"_lp{k}")).alias(f"_x{k}") for k in ks]
+    )
+    none = docs.select(id_col, label, *[F.lit(0.0).alias(f"_x{k}") for k in ks])
+    summed = scored.unionByName(none).groupBy(id_col).agg(
+        F.max(label).alias(label), *[F.sum(f"_x{k}").alias(f"_x{k}") for k in ks]
     )
-    none = docs.select(*by, id_col, *[F.lit(0.0).alias(f"_x{k}") for k in ks])
-    summed = scored.unionByName(none).groupBy(*by, id_col).agg(*[F.sum(f"_x{k}").alias(f"_x{k}") for k in ks])
-    prior = priors.select(F.struct(*priors.columns)).scalar()
-    joint = [F.round(F.col(f"_x{k}") + prior[f"_prior{k}"], 9) for k in ks]
-    return summed.select(*by, id_col, _first_best(joint, classes).alias("predicted"))
+    joint = [F.round(F.col(f"_x{k}") + F.lit(priors[k]), 9) for k in ks]
+    return summed.select(id_col, label, _first_best(joint, classes).alias("predicted"))
 
 
 def _first_best(scores, classes):
@@ -102,14 +117,8 @@ def _first_best(scores, classes):
 def naive_bayes(features, docs, label, classes, weighted=False, id_col=ID, split="split"):
     """Fit on the training split, predict the test split: (id, label, predicted)."""
     train, test = docs.where(F.col(split) == "train"), docs.where(F.col(split) == "test")
-    if weighted:
-        train = train.join(small(class_weights(train.select(label), label, "_class_weight")), label)
-    terms, priors = fit_naive_bayes(
-        features.where(F.col(split) == "train").drop(split), train, label, classes,
-        "_class_weight" if weighted else None, id_col,
-    )
-    guess = predict_naive_bayes(terms, priors, features.where(F.col(split) == "test").drop(split), test, classes, id_col)
-    return test.select(id_col, label).join(guess, id_col)
+    terms, priors = fit_naive_bayes(features.where(F.col(split) == "train"), train, label, classes, weighted)
+    return predict_naive_bayes(terms, priors, features.where(F.col(split) == "test"), test, label, classes, id_col)
 
 
 # --- nearest neighbours --------------------------------------------------------

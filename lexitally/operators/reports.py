@@ -24,14 +24,15 @@ def topic_distribution(df, topic="topic", names=K.TOPIC_DISPLAY):
 
 def crosstab(df, row, col, values):
     """Counts over a fixed list of column values, zero-filled, with a row total."""
-    wide = df.where(F.col(col).isin(list(values))).groupBy(row).pivot(col, list(values)).count()
-    filled = wide.na.fill(0, list(values))
+    values = list(values)
+    wide = df.where(F.col(col).isin(values)).groupBy(row).pivot(col, values).count()
+    filled = wide.na.fill(0, [str(v) for v in values])
     return filled.withColumn("total", reduce(add, [F.col(f"`{v}`") for v in values]))
 
 
 def row_percentages(wide, values, digits=1, total="total"):
     """Each value column as a percentage of the row total; the total is kept."""
-    shares = {v: F.round(F.col(f"`{v}`") / F.col(total) * 100, digits) for v in values}
+    shares = {str(v): F.round(F.col(f"`{v}`") / F.col(total) * 100, digits) for v in values}
     return wide.withColumns(shares)
 
 
@@ -134,31 +135,29 @@ def describe(df, column):
     task ever holds all of them.
     """
     values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_total(values, column, "_n", "_before")
-    n = values.agg(F.sum("_n")).scalar()
+    ranked = running_total(values, column, "_n", "_before").withColumn("_last", values.agg(F.sum("_n")).scalar() - 1)
 
     def at(position):
         here = (F.col("_before") <= position) & (position < F.col("_before") + F.col("_n"))
         return F.max(F.when(here, F.col(column))).cast("double")
 
-    places = {q: (n - 1) * F.lit(q) for q in (0.25, 0.5, 0.75)}
-    read = ranked.agg(
-        *[at(F.floor(p)).alias(f"_lo{q}") for q, p in places.items()],
-        *[at(F.ceil(p)).alias(f"_hi{q}") for q, p in places.items()],
-    )
-
-    def quartile(q):
-        lo, hi = F.col(f"`_lo{q}`"), F.col(f"`_hi{q}`")
-        return lo + (hi - lo) * (places[q] - F.floor(places[q]))
-
-    quartiles = read.select(F.struct(*[quartile(q).alias(f"p{int(q * 100)}") for q in places])).scalar()
-    return df.agg(
-        F.count(column).alias("count"),
-        F.round(F.avg(column), 6).alias("mean"),
-        F.round(F.stddev_samp(column), 6).alias("std"),
+    quartiles = (0.25, 0.5, 0.75)
+    place = {q: F.col("_last") * F.lit(q) for q in quartiles}
+    summary = ranked.agg(
+        F.sum("_n").alias("count"),
+        F.round(F.sum(F.col(column) * F.col("_n")) / F.sum("_n"), 6).alias("mean"),
+        F.max("_last").alias("_last"),
         F.min(column).cast("double").alias("min"),
         F.max(column).cast("double").alias("max"),
-    ).withColumns({f"p{int(q * 100)}": quartiles[f"p{int(q * 100)}"] for q in places})
+        *[at(F.floor(place[q])).alias(f"_lo{i}") for i, q in enumerate(quartiles)],
+        *[at(F.ceil(place[q])).alias(f"_hi{i}") for i, q in enumerate(quartiles)],
+    )
+    between = {
+        f"p{int(q * 100)}": F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (place[q] - F.floor(place[q]))
+        for i, q in enumerate(quartiles)
+    }
+    deviation = df.agg(F.round(F.stddev_samp(column), 6)).scalar()
+    return summary.withColumns({**between, "std": deviation}).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def temporal_coverage(df, ts="created_at"):
@@ -225,8 +224,8 @@ def target_options(df, label="final_sentiment"):
 def class_weights(df, label, name="weight"):
     """Balanced weights n / (classes x class size)."""
     counts = group_counts(df.where(F.col(label).isNotNull()), label)
-    totals = counts.agg(F.struct(F.sum("count").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
-    return counts.select(label, (totals["n"] / (totals["k"] * F.col("count"))).alias(name))
+    per_class = counts.agg(F.sum("count") / F.count(F.lit(1))).scalar()
+    return counts.select(label, (per_class / F.col("count")).alias(name))
 
 
 def with_class_weights(df, label, name="weight"):

@@ -50,11 +50,14 @@ def test_quotas(df, stratum, test_size=K.TEST_SIZE):
 
 
 def stratified_split(df, id_col, stratum, test_size=K.TEST_SIZE, seed=K.SEED):
-    """Add `split`: exactly the quota of every class is test, chosen by seeded hash."""
-    quotas = test_quotas(df, stratum, test_size).select(stratum, "quota")
-    ranked = ranked_within(df, id_col, stratum, seed).join(small(quotas, MAX_CLASSES), stratum)
-    is_test = F.col("_rank") <= F.col("quota")
-    return ranked.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("_rank", "quota")
+    """Add `split`: exactly the quota of every class is test, chosen by seeded hash.
+
+    The quotas, one number per class, are read first and become constants.
+    """
+    quotas = test_quotas(df, stratum, test_size).collect()  # at most MAX_CLASSES rows
+    is_test = [F.when(F.col(stratum) == q[stratum], F.col("_rank") <= q["quota"]) for q in quotas]
+    ranked = ranked_within(df, id_col, stratum, seed)
+    return ranked.withColumn("split", F.when(F.coalesce(*is_test), "test").otherwise("train")).drop("_rank")
 
 
 def stratified_folds(df, id_col, stratum, folds=K.FOLDS, seed=K.SEED):

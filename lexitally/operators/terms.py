@@ -79,9 +79,9 @@ def topic_term_stats(docs, token_array="tokens", topic=TOPIC):
     in_corpus = F.sum("topic_term_count").over(Window.partitionBy(TERM))
     totals = topic_totals(docs, token_array, topic)
     corpus = docs.agg(F.sum(F.size(token_array))).scalar()
-    joined = counts.withColumn("corpus_term_count", in_corpus).join(small(totals), topic)
+    joined = counts.withColumns({"corpus_term_count": in_corpus, "_tokens": corpus}).join(small(totals), topic)
     in_topic = F.col("topic_term_count") / F.col("_topic_tokens")
-    overall = F.col("corpus_term_count") / corpus
+    overall = F.col("corpus_term_count") / F.col("_tokens")
     return joined.select(
         topic,
         TERM,
@@ -206,9 +206,8 @@ def topic_vs_rest_tfidf(docs, ngram_range=(1, 1), token_array="tokens", topic=TO
     pairs = ngram_counts(docs, ngram_range, token_array, (id_col, topic))
     weights = tfidf(pairs, vocabulary(pairs, docs, min_df, max_df), id_col=id_col)
     sums = weights.groupBy(TERM, topic).agg(F.sum("value").alias("w"))
-    every = _per_topic(sums, docs, topic, ["w"])
-    n = row_count(docs)
-    others = n - F.col("topic_doc_count")
+    every = _per_topic(sums, docs, topic, ["w"]).withColumn("other_doc_count", row_count(docs) - F.col("topic_doc_count"))
+    others = F.col("other_doc_count")
     only_here = F.col("_hit") & (F.col("_topics") == 1)
     here = F.col("w") / F.col("topic_doc_count")
     rest = F.when(only_here | (others == 0), F.lit(0.0)).otherwise((F.col("_all_w") - F.col("w")) / F.greatest(others, F.lit(1)))
@@ -225,7 +224,7 @@ def topic_vs_rest_tfidf(docs, ngram_range=(1, 1), token_array="tokens", topic=TO
         F.round("_rest", 6).alias("mean_tfidf_in_other"),
         F.when(ratio == float("inf"), ratio).otherwise(F.round(ratio, 4)).alias("topic_distinctiveness_ratio"),
         "topic_doc_count",
-        others.alias("other_doc_count"),
+        "other_doc_count",
     )
 
 

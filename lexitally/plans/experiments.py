@@ -34,7 +34,7 @@ def bayes_matrix(docs, targets, id_col=ID, token_array="tokens"):
     for target, (label, classes) in targets.items():
         parted = stored(stratified_split(docs, id_col, label), "split")
         for representation in ("tfidf", "bow"):
-            features = stored(text_features(parted, representation, token_array=token_array, id_col=id_col), "features")
+            features = stored(text_features(parted, representation, token_array=token_array, carry=[label], id_col=id_col), "features")
             for weighted in (False, True):
                 guess = naive_bayes(features, parted, label, classes, weighted, id_col)
                 runs.append(
@@ -52,7 +52,7 @@ def neighbour_matrix(docs, targets, id_col=ID, token_array="tokens", normalise=F
     for target, (label, classes) in targets.items():
         parted = stored(stratified_split(docs, id_col, label), "split")
         for representation in ("tfidf", "bow"):
-            features = stored(text_features(parted, representation, token_array=token_array, id_col=id_col), "features")
+            features = stored(text_features(parted, representation, token_array=token_array, carry=[label], id_col=id_col), "features")
             features = l2_normalise(features, id_col) if normalise else features
             guess = knn(features, parted, label, classes, id_col=id_col)
             runs.append(_tag(guess.withColumnRenamed(label, "actual"), target=target, representation=representation))
@@ -87,7 +87,7 @@ def ngram_predictions(docs, label, classes, ranges=None, id_col=ID, token_array=
     parted = stored(stratified_split(docs, id_col, label), "split")
     runs = []
     for name, ngram_range in (ranges or K.NGRAM_RANGES).items():
-        features = stored(text_features(parted, "tfidf", ngram_range, token_array, id_col), "features")
+        features = stored(text_features(parted, "tfidf", ngram_range, token_array, [label], id_col), "features")
         guess = naive_bayes(features, parted, label, classes, True, id_col)
         runs.append(_tag(guess.withColumnRenamed(label, "actual"), representation=name))
     return _stack(runs)
@@ -118,7 +118,7 @@ def bayes_folds(docs, label, classes, folds=K.FOLDS, id_col=ID, token_array="tok
     for fold in range(folds):
         parted = assigned.withColumn("split", F.when(F.col("fold") == fold, "test").otherwise("train"))
         for representation in ("bow", "tfidf"):
-            features = stored(text_features(parted, representation, token_array=token_array, id_col=id_col), "features")
+            features = stored(text_features(parted, representation, token_array=token_array, carry=[label], id_col=id_col), "features")
             if model == "bayes":
                 guess = naive_bayes(features, parted, label, classes, False, id_col)
             else:
@@ -159,9 +159,9 @@ def enriched_predictions(parted, scored_columns, label, classes, id_col=ID, toke
     runs = []
     representations = {"bow": ("bow", []), "enriched": ("tfidf", list(scored_columns))}
     for name, (kind, columns) in representations.items():
-        features = stored(text_features(parted, kind, token_array=token_array, id_col=id_col), "features")
+        features = stored(text_features(parted, kind, token_array=token_array, carry=[label], id_col=id_col), "features")
         if columns:
-            features = with_score_columns(features, parted, columns, id_col)
+            features = with_score_columns(features, parted, columns)
         for model in models:
             if model == "bayes":
                 guess = naive_bayes(features, parted, label, classes, False, id_col)
