@@ -9,15 +9,19 @@ grows with the data, so it is never marked for broadcast: Spark broadcasts it
 only when its measured size allows.
 """
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexitally import constants as K
-from lexitally.functions.guards import row_count, small, small_array
+from lexitally.functions.guards import row_count, small
 from lexitally.functions.numbers import settled
 from lexitally.functions.text import content_tokens, long_tokens, ngrams, not_blank
 
 ID, TOPIC, TERM = "post_id", "topic", "term"
+MAX_TOPICS = 200
 
 
 def prepare(df, text="text_clean", stop_words=K.TOPIC_STOP_WORDS):
@@ -63,34 +67,52 @@ def corpus_frequency(docs, token_array="tokens"):
     return counts.withColumn("corpus_term_freq", F.round(F.col("corpus_term_count") / total, 6))
 
 
-def topic_totals(docs, token_array="tokens", topic=TOPIC):
-    """Documents and tokens per topic; one row per topic, checked before broadcast."""
-    return docs.groupBy(topic).agg(
-        F.count(F.lit(1)).alias("topic_doc_count"), F.sum(F.size(token_array)).alias("_topic_tokens")
-    )
+def topic_sizes(docs, token_array="tokens", topic=TOPIC, max_topics=MAX_TOPICS):
+    """(topic, documents, tokens) of every topic, in topic order: a short checked list on the driver.
+
+    With the topics known, per-topic sums become columns of one aggregate by
+    term, which needs a single shuffle and no join with the topics.
+    """
+    sizes = docs.groupBy(topic).agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size(token_array)).alias("tokens"))
+    found = sizes.limit(max_topics + 1).collect()
+    if len(found) > max_topics:
+        raise ValueError(f"more than {max_topics} topics in {topic}")
+    return sorted((r[topic], r["docs"], r["tokens"]) for r in found)
+
+
+def _sum_per_topic(sizes, topic, amount, prefix):
+    """One aggregate column per topic: the sum of `amount` over its rows."""
+    return [
+        F.coalesce(F.sum(F.when(F.col(topic) == t, amount)), F.lit(0)).alias(f"{prefix}{i}")
+        for i, (t, _, _) in enumerate(sizes)
+    ]
 
 
 def topic_term_stats(docs, token_array="tokens", topic=TOPIC):
     """Counts, frequencies and lift of every token in every topic it occurs in."""
-    counts = docs.select(topic, F.explode(token_array).alias(TERM)).groupBy(topic, TERM).agg(
-        F.count(F.lit(1)).alias("topic_term_count")
+    sizes = topic_sizes(docs, token_array, topic)
+    counts = docs.select(topic, F.explode(token_array).alias(TERM)).groupBy(TERM).agg(
+        F.count(F.lit(1)).alias("corpus_term_count"), *_sum_per_topic(sizes, topic, F.lit(1), "_c")
     )
-    # A term has at most one row per topic here, so this window is narrow.
-    in_corpus = F.sum("topic_term_count").over(Window.partitionBy(TERM))
-    totals = topic_totals(docs, token_array, topic)
-    corpus = docs.agg(F.sum(F.size(token_array))).scalar()
-    joined = counts.withColumns({"corpus_term_count": in_corpus, "_tokens": corpus}).join(small(totals), topic)
-    in_topic = F.col("topic_term_count") / F.col("_topic_tokens")
-    overall = F.col("corpus_term_count") / F.col("_tokens")
-    return joined.select(
-        topic,
-        TERM,
-        "topic_term_count",
-        "corpus_term_count",
-        "topic_doc_count",
-        F.round(in_topic, 6).alias("topic_term_freq"),
-        F.round(overall, 6).alias("corpus_term_freq"),
-        F.round(in_topic / overall, 4).alias("topic_specific_ratio"),
+    all_tokens = sum(tokens for _, _, tokens in sizes)
+    overall = F.col("corpus_term_count") / F.lit(all_tokens)
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(t).alias(topic),
+                F.col(f"_c{i}").alias("topic_term_count"),
+                F.lit(n_docs).cast("long").alias("topic_doc_count"),
+                F.round(F.col(f"_c{i}") / F.lit(tokens), 6).alias("topic_term_freq"),
+                F.round(F.col(f"_c{i}") / F.lit(tokens) / overall, 4).alias("topic_specific_ratio"),
+            )
+            for i, (t, n_docs, tokens) in enumerate(sizes)
+        ]
+    )
+    present = F.filter(rows, lambda r: r["topic_term_count"] > 0)
+    long = counts.select(TERM, "corpus_term_count", F.round(overall, 6).alias("corpus_term_freq"), F.inline(present))
+    return long.select(
+        topic, TERM, "topic_term_count", "corpus_term_count", "topic_doc_count",
+        "topic_term_freq", "corpus_term_freq", "topic_specific_ratio",
     )
 
 
@@ -171,60 +193,46 @@ def l2_normalise(features, id_col=ID):
     return features.withColumn("value", F.when(length > 0, F.col("value") / length).otherwise(F.lit(0.0)))
 
 
-def _per_topic(sums, docs, topic, values):
-    """Zero-fill: one row per (term, topic) from per-(term, topic) sums.
-
-    The topics of a term travel as a map with at most one entry per topic, and
-    the full topic list is a checked scalar array, so the fill is an explode of
-    a short array instead of a join of topics with the vocabulary.
-    """
-    entries = F.collect_list(F.struct(topic, F.struct(*values)))
-    by_term = sums.groupBy(TERM).agg(
-        F.map_from_entries(entries).alias("_seen"),
-        *[F.sum(v).alias(f"_all_{v}") for v in values],
-    )
-    topics = small_array(docs.groupBy(topic).agg(F.count(F.lit(1)).alias("topic_doc_count")))
-    filled = by_term.withColumn("_t", F.explode(topics))
-    hit = F.try_element_at("_seen", F.col("_t")[topic])
-    return filled.select(
-        F.col("_t")[topic].alias(topic),
-        TERM,
-        F.col("_t")["topic_doc_count"].alias("topic_doc_count"),
-        F.size("_seen").alias("_topics"),
-        hit.isNotNull().alias("_hit"),
-        *[F.coalesce(hit[v], F.lit(0)).alias(v) for v in values],
-        *[f"_all_{v}" for v in values],
-    )
-
-
 def topic_vs_rest_tfidf(docs, ngram_range=(1, 1), token_array="tokens", topic=TOPIC, id_col=ID, min_df=K.MIN_DF, max_df=K.MAX_DF):
     """Mean TF-IDF of every vocabulary term in a topic and in all others, and their ratio.
 
-    Means run over all documents, those without the term included. A term found
-    in the topic only has ratio infinity.
+    Means run over all documents, those without the term included, and every
+    term has a row for every topic. A term found in one topic only has ratio
+    infinity there.
     """
+    sizes = topic_sizes(docs, token_array, topic)
+    n = sum(n_docs for _, n_docs, _ in sizes)
     pairs = ngram_counts(docs, ngram_range, token_array, (id_col, topic))
     weights = tfidf(pairs, vocabulary(pairs, docs, min_df, max_df), id_col=id_col)
-    sums = weights.groupBy(TERM, topic).agg(F.sum("value").alias("w"))
-    every = _per_topic(sums, docs, topic, ["w"]).withColumn("other_doc_count", row_count(docs) - F.col("topic_doc_count"))
-    others = F.col("other_doc_count")
-    only_here = F.col("_hit") & (F.col("_topics") == 1)
-    here = F.col("w") / F.col("topic_doc_count")
-    rest = F.when(only_here | (others == 0), F.lit(0.0)).otherwise((F.col("_all_w") - F.col("w")) / F.greatest(others, F.lit(1)))
-    measured = every.withColumns({"_here": here, "_rest": rest})
+    sums = weights.groupBy(TERM).agg(*_sum_per_topic(sizes, topic, F.col("value"), "_w"))
+    w = [F.col(f"_w{i}") for i in range(len(sizes))]
+    whole = sums.withColumns(
+        {"_sum": reduce(add, w), "_topics": reduce(add, [(x > 0).cast("int") for x in w])}
+    )
+    rows = []
+    for x, (t, n_docs, _) in zip(w, sizes):
+        nowhere_else = F.col("_topics") == (x > 0).cast("int")
+        rest = F.when(nowhere_else, F.lit(0.0)).otherwise((F.col("_sum") - x) / F.lit(max(n - n_docs, 1)))
+        rows.append(
+            F.struct(
+                F.lit(t).alias(topic), (x / F.lit(n_docs)).alias("_here"), rest.alias("_rest"),
+                F.lit(n_docs).alias("topic_doc_count"), F.lit(n - n_docs).alias("other_doc_count"),
+            )
+        )
+    here, rest = F.col("_here"), F.col("_rest")
     ratio = (
-        F.when(F.col("_rest") > 0, F.col("_here") / F.when(F.col("_rest") > 0, F.col("_rest")))
-        .when(F.col("_here") > 0, F.lit(float("inf")))
+        F.when(rest > 0, F.round(here / F.when(rest > 0, rest), 4))
+        .when(here > 0, F.lit(float("inf")))
         .otherwise(F.lit(0.0))
     )
-    return measured.select(
+    return whole.select(TERM, F.inline(F.array(*rows))).select(
         topic,
         TERM,
-        F.round("_here", 6).alias("mean_tfidf_in_topic"),
-        F.round("_rest", 6).alias("mean_tfidf_in_other"),
-        F.when(ratio == float("inf"), ratio).otherwise(F.round(ratio, 4)).alias("topic_distinctiveness_ratio"),
-        "topic_doc_count",
-        "other_doc_count",
+        F.round(here, 6).alias("mean_tfidf_in_topic"),
+        F.round(rest, 6).alias("mean_tfidf_in_other"),
+        ratio.alias("topic_distinctiveness_ratio"),
+        F.col("topic_doc_count").cast("long").alias("topic_doc_count"),
+        F.col("other_doc_count").cast("long").alias("other_doc_count"),
     )
 
 
@@ -244,21 +252,32 @@ def local_tfidf(docs, ngram_range=(1, 1), token_array="tokens", topic=TOPIC, id_
 
 def bigram_frequency(docs, token_array="tokens", topic=TOPIC, id_col=ID, min_df=K.MIN_DF, max_df=K.MAX_DF):
     """Counts, shares and document ratios of every retained bigram in every topic, zeros included."""
+    sizes = topic_sizes(docs, token_array, topic)
+    n = sum(n_docs for _, n_docs, _ in sizes)
     pairs = ngram_counts(docs, (2, 2), token_array, (id_col, topic))
-    kept = pairs.join(vocabulary(pairs, docs, min_df, max_df).select(TERM), TERM)
-    sums = kept.groupBy(TERM, topic).agg(F.sum("tf").alias("c"), F.count(F.lit(1)).alias("d"))
-    every = _per_topic(sums, docs, topic, ["c", "d"])
-    totals = sums.groupBy(topic).agg(F.sum("c").alias("_total"))
-    joined = every.join(small(totals), topic, "left")
-    share = F.when(F.col("_total") > 0, F.col("c") / F.col("_total")).otherwise(F.lit(0.0))
-    return joined.select(
-        topic,
-        F.col(TERM).alias("bigram"),
-        F.col("c").alias("bigram_count"),
-        F.round(share, 6).alias("bigram_freq"),
-        F.col("d").alias("bigram_doc_freq"),
-        F.round(F.col("d") / F.col("topic_doc_count"), 6).alias("bigram_doc_ratio"),
-        "topic_doc_count",
+    # Counts and document frequencies come out of the same aggregate as the pruning.
+    counts = pairs.groupBy(F.col(TERM).alias("bigram")).agg(
+        F.count(F.lit(1)).alias("_df"),
+        *_sum_per_topic(sizes, topic, F.col("tf"), "_c"),
+        *_sum_per_topic(sizes, topic, F.lit(1), "_d"),
+    )
+    kept = counts.where((F.col("_df") >= min_df) & (F.col("_df") <= n * max_df))
+    totals = kept.agg(F.struct(*[F.sum(f"_c{i}").alias(f"t{i}") for i in range(len(sizes))])).scalar()
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(t).alias(topic),
+                F.col(f"_c{i}").alias("bigram_count"),
+                F.round(F.when(F.col("_totals")[f"t{i}"] > 0, F.col(f"_c{i}") / F.greatest(F.col("_totals")[f"t{i}"], F.lit(1))).otherwise(F.lit(0.0)), 6).alias("bigram_freq"),
+                F.col(f"_d{i}").alias("bigram_doc_freq"),
+                F.round(F.col(f"_d{i}") / F.lit(n_docs), 6).alias("bigram_doc_ratio"),
+                F.lit(n_docs).cast("long").alias("topic_doc_count"),
+            )
+            for i, (t, n_docs, _) in enumerate(sizes)
+        ]
+    )
+    return kept.withColumn("_totals", totals).select("bigram", F.inline(rows)).select(
+        topic, "bigram", "bigram_count", "bigram_freq", "bigram_doc_freq", "bigram_doc_ratio", "topic_doc_count"
     )
 
 
