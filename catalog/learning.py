@@ -240,9 +240,11 @@ def neighbour_matrix(spark, sf):
     return _matrix_summary(X.neighbour_matrix(labelled(spark, sf), TARGETS), BY[:2])
 
 
-@query("H11_H7_forest_matrix")
-def forest_matrix(spark, sf):
-    return _matrix_summary(X.forest_matrix(labelled(spark, sf), TARGETS), BY)
+@query("H7_weighted_forest_labels")
+def forest_labels(spark, sf):
+    parted = label_split(spark, sf).withColumn("_terms", long_tokens("tokens"))
+    guess = L.random_forest(L.vectorise(parted, "tfidf"), "sentiment_3class", K.LABEL_TREES, True)
+    return M.summary(M.confusion_cells(guess, "sentiment_3class", K.LABELS))
 
 
 @query(

@@ -151,7 +151,8 @@ def nearest_neighbours(features, docs, label, k=K.NEIGHBOURS, id_col=ID, split="
     )
     id_type = dict(docs.dtypes)[id_col]
     found = (
-        left.groupBy("_tb", "_rb").cogroup(right.groupBy("_tb", "_rb"))
+        # Both sides come from one table; fresh column identities keep them apart.
+        left.toDF(*left.columns).groupBy("_tb", "_rb").cogroup(right.toDF(*right.columns).groupBy("_tb", "_rb"))
         .applyInPandas(_block_neighbours(id_col, k), f"test_id {id_type}, train_id {id_type}, distance2 double")
     )
     order = Window.partitionBy("test_id").orderBy("distance2", "train_id")
