@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lexitally import constants as K
 from lexitally.functions.guards import bounded, small
 
-MAX_CLASSES = 1000
+MAX_CLASSES = 200
 
 
 def ranked_within(df, id_col, stratum, seed=K.SEED, digits=3):
