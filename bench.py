@@ -9,6 +9,7 @@ own name; every query then runs once into a sink that drops its rows.
 import json
 import os
 import re
+import tempfile
 import time
 
 from catalog import QUERIES
@@ -46,7 +47,8 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
         f"local[{cpus}]", "bench",
-        **{"spark.driver.memory": "16g", "spark.sql.shuffle.partitions": str(2 * int(cpus)), "spark.ui.showConsoleProgress": "false"},
+        **{"spark.driver.memory": "16g", "spark.sql.shuffle.partitions": str(2 * int(cpus)), "spark.ui.showConsoleProgress": "false",
+           "spark.checkpoint.dir": os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     timings = {}

@@ -11,7 +11,7 @@ from lexitally import constants as K
 from lexitally.functions.labels import label_targets
 from lexitally.functions.text import clean_text, word_count
 from lexitally.operators.terms import prepare, with_tokens
-from lexitally.session import spread, stored
+from lexitally.session import stored
 from lexitally.sources.io import read_table
 
 STATUS = ["F", "O", "P"]
@@ -36,7 +36,7 @@ def posts(spark, sf):
 
 def clean(spark, sf):
     """Posts with cleaned text and the word count of the raw text."""
-    docs = spread(posts(spark, sf))
+    docs = posts(spark, sf)
     return docs.withColumns({"text_clean": clean_text("text"), "word_count": word_count("text")})
 
 

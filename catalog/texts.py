@@ -13,12 +13,11 @@ from lexitally.operators.raters import annotation_template
 from lexitally.operators.reports import spaced
 from lexitally.operators.terms import with_tokens
 from lexitally.plans.modeling import clean_posts, number_posts
-from lexitally.session import spread
 from lexitally.sources.io import read_table
 
 
 def pages(spark, sf):
-    return spread(read_table(spark, sf, "pages"))
+    return read_table(spark, sf, "pages")
 
 
 def conversations(spark, sf):

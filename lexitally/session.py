@@ -1,7 +1,7 @@
 """Session and shared-folder helpers."""
 
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -25,20 +25,12 @@ def build_session(master="local[8]", app="lexitally", **conf):
 
 
 def shared_dir(spark):
-    """The shared folder the cluster names in spark.checkpoint.dir.
+    """The shared folder for stage tables: spark.checkpoint.dir, else Spark's warehouse folder.
 
-    Only a local-mode session without that setting (a test) gets a temporary
-    folder; on a cluster a machine-local path would be lost with its executor,
-    so a missing setting is an error there.
+    Both are folders that the driver and all executors reach; nothing is written
+    to a machine-local place.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="lexitally-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def scratch_path(spark, name):
@@ -65,10 +57,17 @@ def stored(df, name):
     return df.sparkSession.read.parquet(path)
 
 
-def spread(df):
-    """Use every core for a scan that is too small to be split that far.
+def delete_path(spark, path):
+    """Delete a stage table that no later job reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
-    A table with at least as many splits as cores comes back as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+@contextmanager
+def stage_folder(spark, name):
+    """A fresh sub-folder of the shared folder for stage tables that are done with at the end of the block."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        delete_path(spark, path)
