@@ -1,6 +1,9 @@
 """The training-data operators as named queries over the given tables, with SQL where it can express them."""
 
 from lexitally.llm import (  # noqa: F401  (they fill the registry)
+    html_consensus_query,
+    packing_query,
+    pieces_query,
     quality_rules_query,
 )
 from lexitally.llm.registry import ORACLE, QUERIES  # noqa: F401
