@@ -5,6 +5,7 @@ from lexitally.llm import (  # noqa: F401  (they fill the registry)
     packing_query,
     pieces_query,
     quality_rules_query,
+    resampling_query,
     vafile_query,
 )
 from lexitally.llm.registry import ORACLE, QUERIES  # noqa: F401
