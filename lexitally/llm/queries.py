@@ -1,6 +1,7 @@
 """The training-data operators as named queries over the given tables, with SQL where it can express them."""
 
 from lexitally.llm import (  # noqa: F401  (they fill the registry)
+    brown_query,
     html_consensus_query,
     line_chunks_query,
     near_duplicates_query,
