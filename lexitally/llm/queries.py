@@ -3,6 +3,7 @@
 from lexitally.llm import (  # noqa: F401  (they fill the registry)
     brown_query,
     html_consensus_query,
+    licenses_query,
     line_chunks_query,
     near_duplicates_query,
     packing_query,
