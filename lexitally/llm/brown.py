@@ -49,15 +49,11 @@ FLUSH = 200_000
 END = b""
 
 
-def suffix_unit(word):
-    return zlib.crc32(word[-3:]) % SUFFIXES
-
-
 # --- counting words --------------------------------------------------------------------
 
 
-def word_counts(texts):
-    """(word, n) over a one-column table of texts; the end of a text is the empty word."""
+def word_counts(texts, flush=FLUSH):
+    """(word, n) over a one-column table of texts; the end of a text is the empty word. A task holds about `flush` words."""
 
     def counted(batches):
         counts = Counter()
@@ -69,7 +65,7 @@ def word_counts(texts):
             for text in batch.column(0).to_pylist():
                 counts.update(word_bytes(text or ""))
                 counts[END] += 1
-                if len(counts) > FLUSH:
+                if len(counts) > flush:
                     yield batch_of(counts)
                     counts = Counter()
         yield batch_of(counts)
@@ -83,20 +79,21 @@ class Dictionary:
     Units: 0 the end, then the clustered words, then the suffix units.
     """
 
-    def __init__(self, counts):
-        least = kth_largest(counts, "n", KNOWN) if counts.count() > KNOWN else 0
-        frequent = counts.where((F.col("n") > least) & (F.col("word") != END)).toPandas()  # fewer than KNOWN rows
+    def __init__(self, counts, known=KNOWN, clustered=CLUSTERED, suffixes=SUFFIXES):
+        self.suffixes = suffixes
+        least = kth_largest(counts, "n", known) if counts.count() > known else 0
+        frequent = counts.where((F.col("n") > least) & (F.col("word") != END)).toPandas()  # at most `known` rows
         frequent = sorted(zip(frequent["n"].tolist(), map(bytes, frequent["word"])), key=lambda x: (-x[0], x[1]))
         self.index = {word: i for i, (_, word) in enumerate(frequent)}
         self.count = np.array([n for n, _ in frequent], np.int64)
-        own = min(CLUSTERED, len(frequent))
+        own = min(clustered, len(frequent))
         self.first_suffix = 1 + own
-        self.units = self.first_suffix + SUFFIXES
-        self.unit = np.array([1 + i if i < own else self.first_suffix + suffix_unit(w) for i, (_, w) in enumerate(frequent)], np.int32)
+        self.units = self.first_suffix + suffixes
+        self.unit = np.array([1 + i if i < own else self._suffix_unit(w) for i, (_, w) in enumerate(frequent)], np.int32)
         totals = counts.agg(F.sum("n"), F.count("*"), F.sum(F.when(F.col("word") == END, F.col("n")))).first()
         self.tokens, self.words, self.ends = (int(x or 0) for x in totals)
         # Suffix units: tokens and different words, less those of the clustered words.
-        suffix = F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(SUFFIXES))
+        suffix = F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(suffixes))
         by_suffix = counts.where(F.col("word") != END).groupBy(suffix.alias("s")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
         self.unit_count, self.unit_words = np.zeros(self.units), np.ones(self.units)
         self.unit_count[0] = self.ends
@@ -106,15 +103,18 @@ class Dictionary:
             self.unit_count[self.first_suffix + row["s"]] = row["n"]
             self.unit_words[self.first_suffix + row["s"]] = row["v"]
         for n, word in frequent[:own]:
-            self.unit_count[self.first_suffix + suffix_unit(word)] -= n
-            self.unit_words[self.first_suffix + suffix_unit(word)] -= 1
+            self.unit_count[self._suffix_unit(word)] -= n
+            self.unit_words[self._suffix_unit(word)] -= 1
+
+    def _suffix_unit(self, word):
+        return self.first_suffix + zlib.crc32(word[-3:]) % self.suffixes
 
     def look_up(self, words):
         """(place in the dictionary or -1, unit) of every word."""
         place = np.fromiter(map(self.index.get, words, repeat(-1)), np.int32, len(words))
         unit = self.unit[place] if len(self.unit) else np.zeros(len(words), np.int32)
         for i in np.flatnonzero(place < 0):
-            unit[i] = self.first_suffix + suffix_unit(words[i])
+            unit[i] = self._suffix_unit(words[i])
         return place, unit
 
 
@@ -235,19 +235,19 @@ class BrownModel:
         return n, int(seen.sum()) + (d.ends > 0), float(base), float(model), others
 
 
-def fit(texts, counts):
+def fit(texts, counts, n_classes=CLASSES, passes=PASSES, **sizes):
     """The model of a one-column table of training texts with their word counts."""
     spark = texts.sparkSession
-    dictionary = Dictionary(counts)
+    dictionary = Dictionary(counts, **sizes)
     shared = spark.sparkContext.broadcast(dictionary)
     path = scratch_path(spark, "unit-stream")
     unit_stream(texts, shared).write.parquet(path)
     stream = spark.read.parquet(path)
-    classes = 1 + np.arange(dictionary.units) % (CLASSES - 1)
+    classes = 1 + np.arange(dictionary.units) % (n_classes - 1)
     classes[0] = 0
-    for _ in range(PASSES):
-        classes = exchange(*neighbour_classes(stream, classes, dictionary.units, CLASSES), classes)
-    table = class_bigrams(neighbour_classes(stream, classes, dictionary.units, CLASSES)[0], classes)
+    for _ in range(passes):
+        classes = exchange(*neighbour_classes(stream, classes, dictionary.units, n_classes), classes)
+    table = class_bigrams(neighbour_classes(stream, classes, dictionary.units, n_classes)[0], classes)
     delete_path(spark, path)
     return BrownModel(dictionary, classes, table)
 
@@ -255,16 +255,17 @@ def fit(texts, counts):
 # --- scoring --------------------------------------------------------------------------
 
 
-def score_documents(docs, train, id_col="doc_id", text="text"):
+def score_documents(docs, train, id_col="doc_id", text="text", **options):
     """Per row: id, train (boolean), n_tokens, n_known, train_tokens, base_score, score.
 
-    `train` is a condition on the rows that says which texts the model learns from.
+    `train` is a condition on the rows that says which texts the model learns from;
+    options are those of `fit` and `Dictionary`.
     """
     spark = docs.sparkSession
     flagged = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(train, F.lit(True)).alias("train"), F.col(f"`{text}`").alias("text"))
     texts = flagged.where("train").select("text")
     counts = stored(word_counts(texts), "word-counts")
-    model = fit(texts, counts)
+    model = fit(texts, counts, **options)
     shared = spark.sparkContext.broadcast(model)
     kind = dict(docs.dtypes)[id_col]
     pair = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))
