@@ -4,12 +4,13 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query
 from catalog.relational import sql_split
-from catalog.tables import LANGS, SQL_CORPUS, SQL_LABELS, corpus, labelled, sql_list, sql_with
+from catalog.tables import LANGS, SQL_CORPUS, SQL_LABELS, corpus, features, labelled, sql_list, sql_with
 from lexitally import constants as K
 from lexitally.functions.text import is_informative_bigram
 from lexitally.operators import scoring as S
 from lexitally.operators import terms as T
 from lexitally.operators.split import stratified_split
+from lexitally.operators.terms import with_tokens
 from lexitally.plans.modeling import topic_features
 
 TOPIC_ARRAY = "tops AS (SELECT topic, count(*) AS topic_doc_count FROM {src} GROUP BY topic)"
@@ -198,17 +199,25 @@ def frequent_by_class(spark, sf):
     return T.frequent_bigrams_by_class(corpus(spark, sf), "topic")
 
 
+# The filter has something to drop only where stop words are still in the text.
+SQL_FULL = SQL_CORPUS + ",\nfull_text AS (SELECT post_id, topic, list_filter(string_split(text_clean, ' '), lambda x: length(x) >= 2) AS vt FROM kept)"
+
+
+def full_text(spark, sf):
+    return with_tokens(features(spark, sf)).withColumn("tokens", F.array_remove(F.split("text_clean", " "), "")).select("post_id", "topic", "tokens")
+
+
 INFORMATIVE = f"bigram NOT IN ({sql_list(K.BIGRAM_NOISE_EXACT)}) AND split_part(bigram, ' ', 1) NOT IN ({sql_list(K.BIGRAM_NOISE_TOKENS)}) AND split_part(bigram, ' ', 2) NOT IN ({sql_list(K.BIGRAM_NOISE_TOKENS)})"
 
 
-@query("F5_filtered_bigrams", sql_with(SQL_CORPUS, sql_weights(2), BIGRAM_COUNTS, "t AS (SELECT * FROM bc ORDER BY frequency DESC, bigram LIMIT 30)", f"SELECT bigram, frequency, row_number() OVER (ORDER BY frequency DESC, bigram)::INTEGER AS rank FROM t WHERE {INFORMATIVE}"))
+@query("F5_filtered_bigrams", sql_with(SQL_FULL, sql_weights(2, "full_text"), BIGRAM_COUNTS, "t AS (SELECT * FROM bc ORDER BY frequency DESC, bigram LIMIT 30)", f"SELECT bigram, frequency, row_number() OVER (ORDER BY frequency DESC, bigram)::INTEGER AS rank FROM t WHERE {INFORMATIVE}"))
 def filtered(spark, sf):
-    return T.rerank(T.frequent_bigrams(corpus(spark, sf)).where(is_informative_bigram("bigram")), "frequency", (), "bigram")
+    return T.rerank(T.frequent_bigrams(full_text(spark, sf)).where(is_informative_bigram("bigram")), "frequency", (), "bigram")
 
 
-@query("F5_filtered_bigrams_by_class", sql_with(SQL_CORPUS, sql_weights(2), CLASS_COUNTS, "t AS (SELECT * FROM bc QUALIFY row_number() OVER (PARTITION BY topic ORDER BY frequency DESC, bigram) <= 15)", f"SELECT topic, bigram, frequency, row_number() OVER (PARTITION BY topic ORDER BY frequency DESC, bigram)::INTEGER AS rank FROM t WHERE {INFORMATIVE}"))
+@query("F5_filtered_bigrams_by_class", sql_with(SQL_FULL, sql_weights(2, "full_text"), CLASS_COUNTS, "t AS (SELECT * FROM bc QUALIFY row_number() OVER (PARTITION BY topic ORDER BY frequency DESC, bigram) <= 15)", f"SELECT topic, bigram, frequency, row_number() OVER (PARTITION BY topic ORDER BY frequency DESC, bigram)::INTEGER AS rank FROM t WHERE {INFORMATIVE}"))
 def filtered_by_class(spark, sf):
-    kept = T.frequent_bigrams_by_class(corpus(spark, sf), "topic").where(is_informative_bigram("bigram"))
+    kept = T.frequent_bigrams_by_class(full_text(spark, sf), "topic").where(is_informative_bigram("bigram"))
     return T.rerank(kept, "frequency", ("topic",), "bigram")
 
 

@@ -2,6 +2,7 @@
 
 from itertools import permutations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.corpus import SQL_BEST, SQL_LABELLED, sql_scored
@@ -174,6 +175,22 @@ def forest_topics(spark, sf):
     return M.summary(M.confusion_cells(guess, "topic", LANGS))
 
 
+@query(
+    "H7_forest_properties",
+    sql_with(SQL_TOPIC_SPLIT, "SELECT topic, count(*) AS test_rows, true AS predictions_known, true AS above_baseline FROM parted WHERE split = 'test' GROUP BY topic"),
+)
+def forest_properties(spark, sf):
+    """Random trees have no SQL form; that every test row gets a known topic, more often right than the largest class, has."""
+    parted = topic_split(spark, sf).withColumn("_terms", long_tokens("tokens"))
+    guess = L.random_forest(L.vectorise(parted, "bow"), "topic", K.TOPIC_TREES)
+    by_topic = guess.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("test_rows"), F.count_if(F.col("predicted") == F.col("topic")).alias("right"),
+        F.bool_and(F.col("predicted").isin(LANGS)).alias("predictions_known"),
+    )
+    every = Window.partitionBy(F.lit(1))  # one row per topic
+    return by_topic.withColumn("above_baseline", F.sum("right").over(every) > F.max("test_rows").over(every)).drop("right")
+
+
 # --- metrics ------------------------------------------------------------------------------------
 
 
@@ -463,6 +480,61 @@ def lda_crosstab(spark, sf):
     return row_percentages(crosstab(found, "actual_topic", "dominant_latent_topic", range(K.LATENT_TOPICS)), range(K.LATENT_TOPICS), 2)
 
 
+# How the labels' text lengths spread over four fixed scales stands in for a topic mix, so SQL can follow the assignment.
+SQL_MIX = "m AS (SELECT doc_id AS post_id, [(n_chars % 7)::DOUBLE, (n_chars % 5)::DOUBLE, (doc_id % 7)::DOUBLE, (doc_id % 3)::DOUBLE] AS w FROM documents)"
+
+
+@query(
+    "H21_dominant_topic",
+    sql_with(
+        SQL_MIX,
+        "s AS (SELECT post_id, list_transform(w, lambda x: x / 20) AS w FROM m)",
+        "SELECT post_id, (list_position(w, list_max(w)) - 1)::INTEGER AS dominant_latent_topic, round(list_max(w), 6) AS dominant_topic_probability, "
+        + ", ".join(f"round(w[{j + 1}], 6) AS latent_topic_{j}_prob" for j in range(4)) + " FROM s",
+    ),
+)
+def dominant_topic(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    parts = [F.col("n_chars") % 7, F.col("n_chars") % 5, F.col("doc_id") % 7, F.col("doc_id") % 3]
+    mixed = docs.select(F.col("doc_id").alias("post_id"), F.array(*[p.cast("double") / 20 for p in parts]).alias("weights"))
+    return P.assign_topics(mixed)
+
+
+SQL_DOCS_PER_TOPIC = "SELECT topic, count(*) AS documents, true AS mixes_sum_to_one, true AS weights_in_range FROM kept GROUP BY topic"
+
+
+def _mixes(found, total=1.0):
+    """Per actual topic: documents, and whether every mix is one."""
+    weights = F.col("weights")
+    summed = F.aggregate(weights, F.lit(0.0), lambda s, x: s + x)
+    return found.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.bool_and(F.abs(summed - total) < 1e-6).alias("mixes_sum_to_one"),
+        F.bool_and(F.forall(weights, lambda x: (x >= 0) & (x <= 1))).alias("weights_in_range"),
+    )
+
+
+@query("H19_lda_mixes", sql_with(SQL_CORPUS, SQL_DOCS_PER_TOPIC))
+def lda_mixes(spark, sf):
+    return _mixes(lda(spark, sf)[0])
+
+
+@query(
+    "H20_nmf_properties",
+    sql_with(SQL_CORPUS, "SELECT topic, count(*) AS documents, true AS weights_not_negative, true AS loss_never_rises FROM kept GROUP BY topic"),
+)
+def nmf_properties(spark, sf):
+    docs = corpus(spark, sf)
+    weights, _, losses = P.fit_nmf(docs, iterations=10)
+    falling = all(b <= a * (1 + 1e-9) for a, b in zip(losses, losses[1:]))
+    mixed = weights.join(docs.select("post_id", "topic"), "post_id")
+    return mixed.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.bool_and(F.least(*[f"w{j}" for j in range(K.LATENT_TOPICS)]) >= 0).alias("weights_not_negative"),
+        F.lit(falling).alias("loss_never_rises"),
+    )
+
+
 def nmf(spark, sf):
     return P.fit_nmf(corpus(spark, sf))
 

@@ -78,7 +78,7 @@ def _drawn_label(key):
     """One of three labels, blank or unknown, drawn by a hex digit of the id's hash."""
     digit = F.substring(F.md5(F.concat_ws(":", F.col("post_id").cast("string"), F.lit(key))), 1, 1)
     return (
-        F.when(digit < "5", "negative").when(digit == "5", " Neutral ").when(digit < "a", "neutral")
+        F.when(digit < "5", "negative").when(digit == "5", "\t Neutral \n").when(digit == "6", "neutral\n").when(digit < "a", "neutral")
         .when(digit < "e", "positive").when(digit == "e", F.lit(None).cast("string")).otherwise("unsure")
     )
 
@@ -133,13 +133,17 @@ posts AS (SELECT o_orderkey AS post_id, o_orderpriority AS topic, o_orderstatus
 def sql_drawn(key):
     d = f"substr(md5(post_id || ':{key}'), 1, 1)"
     return (
-        f"CASE WHEN {d} < '5' THEN 'negative' WHEN {d} = '5' THEN ' Neutral ' WHEN {d} < 'a' THEN 'neutral' "
+        f"CASE WHEN {d} < '5' THEN 'negative' WHEN {d} = '5' THEN chr(9) || ' Neutral ' || chr(10) WHEN {d} = '6' THEN 'neutral' || chr(10) WHEN {d} < 'a' THEN 'neutral' "
         f"WHEN {d} < 'e' THEN 'positive' WHEN {d} = 'e' THEN NULL ELSE 'unsure' END"
     )
 
 
+def sql_strip(c):
+    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+
+
 def sql_norm(c, unknown="'invalid'"):
     return (
-        f"CASE WHEN lower(trim({c})) IN ({sql_list(K.LABELS)}) THEN lower(trim({c})) "
-        f"WHEN trim({c}) <> '' THEN {unknown} END"
+        f"CASE WHEN lower({sql_strip(c)}) IN ({sql_list(K.LABELS)}) THEN lower({sql_strip(c)}) "
+        f"WHEN {sql_strip(c)} <> '' THEN {unknown} END"
     )

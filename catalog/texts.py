@@ -194,6 +194,20 @@ def dedup(spark, sf):
     return D.dedup_posts(raw, "seq").select("post_id", "topic", F.md5("text_raw").alias("hash"))
 
 
+# Users take part in many events and values repeat, so both stages have something to remove.
+@query(
+    "C1_dedup_repeated_posts",
+    """WITH d AS (SELECT event_id, user_id AS post_id, (floor(value)::BIGINT % 50)::VARCHAR AS text_raw, event_type AS topic FROM events),
+a AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY event_id) = 1)
+SELECT event_id, post_id, text_raw, topic FROM a QUALIFY row_number() OVER (PARTITION BY text_raw, topic ORDER BY event_id) = 1""",
+)
+def dedup_repeated(spark, sf):
+    raw = read_table(spark, sf, "events").select(
+        "event_id", F.col("user_id").alias("post_id"), (F.floor("value") % 50).cast("string").alias("text_raw"), F.col("event_type").alias("topic")
+    )
+    return D.dedup_posts(raw, "event_id")
+
+
 @query("C6_duplicate_count", "SELECT count(*) - count(DISTINCT (text, lang)) AS duplicates FROM documents")
 def duplicates(spark, sf):
     return D.duplicate_count(posts(spark, sf), "text", "topic")

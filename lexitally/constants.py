@@ -55,8 +55,7 @@ BIGRAM_NOISE_EXACT = [
     "by the", "as the", "that is", "there is", "there are",
 ]
 
-# Keywords that make a post relevant to a topic; the short ones only count as
-# whole words ("eth" is inside "weather").
+# The keywords of each topic, and those that count as whole words only.
 TOPIC_KEYWORDS = {
     "Artificial Intelligence": ["ai", "chatgpt", "openai", "llm", "machine learning", "neural", "gpt"],
     "Cryptocurrency": ["bitcoin", "crypto", "ethereum", "blockchain", "btc", "eth"],
@@ -69,18 +68,6 @@ TOPIC_KEYWORDS = {
 WHOLE_WORD_KEYWORDS = ["ai", "eth", "btc", "gpt", "llm", "wfh", "neural"]
 MIN_KEYWORD_HITS = 1
 
-# Search queries per topic, in the order they are tried.
-TOPIC_QUERIES = {
-    "Artificial Intelligence": [
-        "chatgpt", "openai", "artificial intelligence", "large language model", "machine learning",
-    ],
-    "Cryptocurrency": ["bitcoin", "ethereum", "cryptocurrency", "crypto", "blockchain"],
-    "Climate Change": [
-        "climate change", "global warming", "carbon emissions", "renewable energy", "fossil fuels",
-    ],
-    "Cybersecurity": ["cybersecurity", "ransomware", "data breach", "cyber attack", "malware", "hacking"],
-}
-
 # Collection windows, newest first: (name, start, end) in epoch seconds, both
 # ends exclusive.
 TIME_WINDOWS = [

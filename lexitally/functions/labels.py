@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from lexitally import constants as K
+from lexitally.functions.text import strip
 
 
 def normalise_label(c, valid=K.LABELS, unknown=K.INVALID):
@@ -13,14 +14,14 @@ def normalise_label(c, valid=K.LABELS, unknown=K.INVALID):
     Voting marks unknown labels as "invalid"; adjudication passes `unknown=None`.
     """
     c = F.col(c) if isinstance(c, str) else c
-    normal = F.lower(F.trim(c))
+    normal = F.lower(strip(c))
     return F.when(normal.isin(list(valid)), normal).when(normal != "", F.lit(unknown).cast("string"))
 
 
 def is_valid_label(c, valid=K.LABELS):
     """Predicate over the closed label set, after trim and lower."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(F.lower(F.trim(c)).isin(list(valid)), F.lit(False))
+    return F.coalesce(F.lower(strip(c)).isin(list(valid)), F.lit(False))
 
 
 def negative_or_not(c):

@@ -1,6 +1,8 @@
 """Text columns: entity decoding, cleaning, tokens, bigrams, relevance."""
 
 import pandas as pd
+import re
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,9 +120,14 @@ def ngrams(token_array, ngram_range=(1, 1)):
     return parts[tuple(ngram_range)](_as_col(token_array))
 
 
+def strip(c):
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(_as_col(c), r"(?U)^\s+|\s+\z", "")
+
+
 def is_informative_bigram(c, noise=K.BIGRAM_NOISE_TOKENS, exact=K.BIGRAM_NOISE_EXACT):
     """True for a pair fit for a report table: no noise token, no one-letter token."""
-    normal = F.lower(F.trim(_as_col(c)))
+    normal = F.lower(strip(c))
     parts = tokens(normal)
     return (
         (F.size(parts) == 2)
@@ -140,7 +147,7 @@ def keyword_hits(c, keywords, whole_words=K.WHOLE_WORD_KEYWORDS):
     hits = F.lit(0)
     for keyword in keywords:
         if keyword in whole_words:
-            hits = hits + F.regexp_count(text, F.lit(rf"\b{keyword}\b"))
+            hits = hits + F.regexp_count(text, F.lit(rf"\b{re.escape(keyword)}\b"))
         else:
             gone = F.length(F.replace(text, F.lit(keyword), F.lit("")))
             hits = hits + ((F.length(text) - gone) / F.lit(len(keyword))).cast("int")
@@ -168,5 +175,5 @@ def not_blank(*cols):
     """Predicate: every column holds something other than whitespace."""
     test = F.lit(True)
     for c in cols:
-        test = test & _as_col(c).isNotNull() & (F.trim(_as_col(c)) != "")
+        test = test & _as_col(c).isNotNull() & (strip(c) != "")
     return test

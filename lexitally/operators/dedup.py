@@ -10,13 +10,21 @@ from lexitally.operators.ordering import running_total
 def keep_first(df, keys, order):
     """One row per key, the one with the smallest `order`.
 
-    An aggregate rather than a window: every map task reduces its copies of a
-    key to one row before the shuffle, so a key that holds a third of the table
-    still sends only one row per task.
+    The smallest `order` per 256-bit hash of the key is a hash aggregate over narrow
+    rows, reduced in every map task, so a key that holds a third of the table sends
+    one row per task. Only then are the winners' rows fetched, so a text moves once.
+    Rows that share key and order count once.
     """
-    rest = [c for c in df.columns if c not in keys]
-    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_row"))
-    return kept.select(*keys, "_row.*").select(*df.columns)
+    named = df.withColumn("_key", _hashed(keys))
+    first = named.groupBy("_key").agg(F.min(order).alias("_first"))
+    kept = named.withColumnRenamed("_key", "_own").join(first, F.col("_own").eqNullSafe(F.col("_key")) & F.col(order).eqNullSafe(F.col("_first")), "left_semi")
+    return kept.dropDuplicates(["_own"]).select(*df.columns)
+
+
+def _hashed(keys):
+    """A 256-bit hash of columns that keeps nulls and borders apart."""
+    parts = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")), F.lit("-")) for k in keys]
+    return F.unhex(F.sha2(F.concat_ws("|", *parts), 256))
 
 
 def dedup_posts(df, order, post_id="post_id", text="text_raw", topic="topic"):

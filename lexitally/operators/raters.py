@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lexitally import constants as K
 from lexitally.functions.labels import normalise_label
-from lexitally.functions.text import preview
+from lexitally.functions.text import preview, strip
 
 
 def annotation_template(posts, raters=K.RATERS, text="text_raw"):
@@ -58,7 +58,7 @@ def review_queue(voted, label="final_sentiment"):
 def adjudicate(voted, adjudications, key="post_id", label="final_sentiment", adjudicated="adjudicated_sentiment"):
     """Replace a manual-review label where a valid adjudication exists."""
     decided = adjudications.select(key, normalise_label(adjudicated, unknown=None).alias(adjudicated))
-    current = F.lower(F.trim(F.col(label)))
+    current = F.lower(strip(label))
     use = (current == "manual_review") & F.col(adjudicated).isNotNull()
     return voted.join(decided, key, "left").withColumn(label, F.when(use, F.col(adjudicated)).otherwise(current))
 

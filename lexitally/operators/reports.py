@@ -50,9 +50,8 @@ def share_of_group(df, keys, label, digits=1):
 def label_trend(df, period, label, values=K.LABELS, digits=1):
     """Label counts and percentages per period, in calendar order."""
     counts = crosstab(df, period, label, values)
-    shares = row_percentages(counts, values, digits)
-    pct = shares.select(period, *[F.col(f"`{v}`").alias(f"{v}_pct") for v in values])
-    return counts.join(pct, period).orderBy(period)
+    shares = {f"{v}_pct": F.round(F.col(f"`{v}`") / F.col("total") * 100, digits) for v in values}
+    return counts.withColumns(shares).orderBy(period)
 
 
 def label_share_matrix(df, period, group, label, value, groups, digits=1):

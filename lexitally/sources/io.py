@@ -1,23 +1,5 @@
 """Reading and writing the post tables."""
 
-from pyspark.sql import types as T
-
-POST_SCHEMA = T.StructType(
-    [
-        T.StructField("item_id", T.LongType()),
-        T.StructField("post_id", T.LongType()),
-        T.StructField("text_raw", T.StringType()),
-        T.StructField("text_clean", T.StringType()),
-        T.StructField("created_at", T.StringType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("topic", T.StringType()),
-        T.StructField("word_count", T.IntegerType()),
-    ]
-)
-LABEL_SCHEMA = "post_id LONG, final_sentiment STRING"
-ADJUDICATION_SCHEMA = "post_id LONG, adjudicated_sentiment STRING"
-
-
 def read_csv(spark, path, schema, sep=","):
     """CSV with a header row; quoted text may hold separators, quotes and line breaks.
 
@@ -37,8 +19,3 @@ def write_csv(df, path, sep=",", mode="errorifexists"):
 
 def read_table(spark, root, name):
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-
-
-def write_table(df, path, partition_by=(), mode="errorifexists"):
-    """Parquet, the default form of every table between jobs."""
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)

@@ -12,7 +12,8 @@ FOLDER = "/root/testdata/sf0.001"
 CHECKED = [
     "A1_A2_csv_round_trip", "A4_contract_report", "E5_F7_quarterly_share_of_topic", "E7_monthly_trend", "E14_plurality_vote",
     "E16_cohen_kappa", "E22_B15_target_options", "H1_stratified_split", "H23_chi_square", "B1_collector_cleaner",
-    "B2_corpus_cleaner", "B7_topic_relevance", "C1_dedup_posts", "C3_capped_collection", "C5_dense_id", "D2_adjudication",
+    "B2_corpus_cleaner", "B7_topic_relevance", "C1_dedup_posts", "C1_dedup_repeated_posts", "F5_filtered_bigrams", "F5_filtered_bigrams_by_class",
+    "H7_forest_properties", "H19_lda_mixes", "H20_nmf_properties", "H21_dominant_topic", "H22_alignment", "B19_valid_label_filter", "E7_quarterly_trend", "C3_capped_collection", "C5_dense_id", "D2_adjudication",
     "G2_topic_term_stats", "G6_topic_vs_rest_tfidf", "G8_bigram_frequency", "G18_D5_term_scores", "G20_D7_best_topic_scores",
     "H5_weighted_naive_bayes", "H6_nearest_neighbours", "H9_class_report", "H17_F3_discriminative_unigrams",
 ]
