@@ -1,36 +1,7 @@
-"""Size-checked small relations and scalar totals.
-
-Class labels, topics and group totals are small by nature, but nothing in a
-plan proves it. These helpers put the check into the plan itself, so that what
-gets broadcast has a bound and an unexpected explosion of groups fails loudly
-instead of taking down the driver.
-"""
+"""Scalar totals."""
 
 from pyspark.sql import functions as F
 
-MAX_GROUPS = 10_000
-
-
-def _checked_rows(dim, max_rows):
-    rows = dim.limit(max_rows + 1).agg(F.collect_list(F.struct(*dim.columns)).alias("rows"))
-    too_many = F.raise_error(F.lit(f"more than {max_rows} rows in a relation declared small"))
-    return rows.select(F.when(F.size("rows") > max_rows, too_many).otherwise(F.col("rows")).alias("rows"))
-
-
-def bounded(dim, max_rows=MAX_GROUPS):
-    """`dim` unchanged if it has at most `max_rows` rows, otherwise the job fails."""
-    return _checked_rows(dim, max_rows).select(F.inline("rows"))
-
-
-def small(dim, max_rows=MAX_GROUPS):
-    """`bounded`, marked for broadcast."""
-    return F.broadcast(bounded(dim, max_rows))
-
-
-def small_array(dim, max_rows=MAX_GROUPS):
-    """The rows of a checked small relation as one sorted array<struct> scalar."""
-    return _checked_rows(dim, max_rows).select(F.array_sort("rows")).scalar()
-
 
 def row_count(df):
     """Number of rows as a scalar subquery."""

@@ -17,7 +17,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexitally import constants as K
-from lexitally.functions.guards import row_count, small
+from lexitally.functions.guards import row_count
 from lexitally.operators.reports import class_weights
 from lexitally.operators.terms import ID, TERM, bag_of_words, ngram_counts, tfidf, vocabulary
 from lexitally.session import stored
@@ -231,7 +231,7 @@ def random_forest(vectors, label, trees=K.TOPIC_TREES, weighted=False, id_col=ID
     """Distributed random forest: square-root feature subsets, deep trees, optional balanced weights."""
     train, test = vectors.where(F.col(split) == "train"), vectors.where(F.col(split) == "test")
     if weighted:
-        train = train.join(small(class_weights(train.select(label), label, "_class_weight")), label)
+        train = train.join(class_weights(train.select(label), label, "_class_weight"), label)
     indexer = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc").fit(train)
     forest = RandomForestClassifier(
         labelCol="_y", featuresCol="features", numTrees=trees, seed=seed, maxDepth=max_depth,

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexitally import constants as K
-from lexitally.functions.guards import row_count, small
+from lexitally.functions.guards import row_count
 from lexitally.functions.labels import display_name, negative_or_not, positive_or_not
 from lexitally.operators.ordering import running_total
 
@@ -229,4 +229,4 @@ def class_weights(df, label, name="weight"):
 
 def with_class_weights(df, label, name="weight"):
     """Every row with the balanced weight of its class."""
-    return df.join(small(class_weights(df, label, name)), label)
+    return df.join(class_weights(df, label, name), label)

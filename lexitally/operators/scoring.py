@@ -6,7 +6,6 @@ from operator import add
 from pyspark.sql import functions as F
 
 from lexitally import constants as K
-from lexitally.functions.guards import small, small_array
 from lexitally.functions.numbers import settled
 from lexitally.functions.text import bigrams, slug
 from lexitally.operators.terms import ID, TERM, TOPIC, min_max_within, term_counts, topic_term_stats, topic_vs_rest_tfidf
@@ -33,7 +32,7 @@ def sentiment_association(docs, label="final_sentiment", token_array="tokens", t
         *[(F.count_if(F.col(label) == x) / F.count(label)).alias(f"_p_{x}") for x in labels]
     )
     gaps = [F.abs(F.col(f"_n_{x}") / F.col("_n") - F.col(f"_p_{x}")) for x in labels]
-    return per_term.join(small(per_topic), topic).select(
+    return per_term.join(per_topic, topic).select(
         topic, TERM, F.greatest(*gaps).alias("sentiment_association_score")
     )
 
@@ -143,8 +142,8 @@ def _document_sums(docs, scored_terms, scored_bigrams, token_array, topic, id_co
     if own_topic_only:
         candidates = docs.select(id_col, F.col(topic).alias("scored_topic"))
     else:
-        topics = small_array(docs.select(topic).distinct())
-        candidates = docs.select(id_col, F.explode(topics).alias("_t")).select(id_col, F.col("_t")[topic].alias("scored_topic"))
+        topics = docs.agg(F.array_sort(F.collect_set(topic))).scalar()
+        candidates = docs.select(id_col, F.explode(topics).alias("scored_topic"))
     none = candidates.select(
         "*", zero.alias("u"), F.lit(0).cast("long").alias("u_n"), zero.alias("p"), zero.alias("b"), F.lit(0).cast("long").alias("b_n")
     )

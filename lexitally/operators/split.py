@@ -4,9 +4,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexitally import constants as K
-from lexitally.functions.guards import bounded, small
-
-MAX_CLASSES = 200
 
 
 def ranked_within(df, id_col, stratum, seed=K.SEED, digits=3):
@@ -28,15 +25,13 @@ def ranked_within(df, id_col, stratum, seed=K.SEED, digits=3):
     )
     inside = Window.partitionBy(stratum, "_range").orderBy("_hash", id_col)
     numbered = keyed.withColumn("_i", F.row_number().over(inside))
-    located = numbered.join(small(offsets, MAX_CLASSES * 16**digits), [stratum, "_range"])
+    located = numbered.join(offsets, [stratum, "_range"])
     return located.withColumn("_rank", F.col("_offset") + F.col("_i")).drop("_hash", "_range", "_i", "_offset")
 
 
 def test_quotas(df, stratum, test_size=K.TEST_SIZE):
     """Test rows per class: ceil(test_size * n) shared out by floor plus largest remainder."""
-    sizes = bounded(
-        df.where(F.col(stratum).isNotNull()).groupBy(stratum).agg(F.count(F.lit(1)).alias("n")), MAX_CLASSES
-    )
+    sizes = df.where(F.col(stratum).isNotNull()).groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
     everything = Window.partitionBy(F.lit(1))
     total = F.sum("n").over(everything)
     shared = sizes.withColumn("_want", F.ceil(total * F.lit(test_size))).withColumn("_all", total)
@@ -50,14 +45,10 @@ def test_quotas(df, stratum, test_size=K.TEST_SIZE):
 
 
 def stratified_split(df, id_col, stratum, test_size=K.TEST_SIZE, seed=K.SEED):
-    """Add `split`: exactly the quota of every class is test, chosen by seeded hash.
-
-    The quotas, one number per class, are read first and become constants.
-    """
-    quotas = test_quotas(df, stratum, test_size).collect()  # at most MAX_CLASSES rows
-    is_test = [F.when(F.col(stratum) == q[stratum], F.col("_rank") <= q["quota"]) for q in quotas]
-    ranked = ranked_within(df, id_col, stratum, seed)
-    return ranked.withColumn("split", F.when(F.coalesce(*is_test), "test").otherwise("train")).drop("_rank")
+    """Add `split`: exactly the quota of every class is test, chosen by seeded hash."""
+    quotas = test_quotas(df, stratum, test_size).select(stratum, F.col("quota").alias("_quota"))
+    ranked = ranked_within(df, id_col, stratum, seed).join(quotas, stratum)
+    return ranked.withColumn("split", F.when(F.col("_rank") <= F.col("_quota"), "test").otherwise("train")).drop("_rank", "_quota")
 
 
 def stratified_folds(df, id_col, stratum, folds=K.FOLDS, seed=K.SEED):

@@ -9,19 +9,16 @@ grows with the data, so it is never marked for broadcast: Spark broadcasts it
 only when its measured size allows.
 """
 
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexitally import constants as K
-from lexitally.functions.guards import row_count, small
+from lexitally.functions.guards import row_count
 from lexitally.functions.numbers import settled
 from lexitally.functions.text import content_tokens, long_tokens, ngrams, not_blank
 
 ID, TOPIC, TERM = "post_id", "topic", "term"
-MAX_TOPICS = 200
 
 
 def prepare(df, text="text_clean", stop_words=K.TOPIC_STOP_WORDS):
@@ -67,52 +64,37 @@ def corpus_frequency(docs, token_array="tokens"):
     return counts.withColumn("corpus_term_freq", F.round(F.col("corpus_term_count") / total, 6))
 
 
-def topic_sizes(docs, token_array="tokens", topic=TOPIC, max_topics=MAX_TOPICS):
-    """(topic, documents, tokens) of every topic, in topic order: a short checked list on the driver.
+def topic_sizes(docs, token_array="tokens", topic=TOPIC):
+    """(topic, topic_doc_count, _tokens): one row per topic."""
+    return docs.groupBy(topic).agg(F.count(F.lit(1)).alias("topic_doc_count"), F.sum(F.size(token_array)).alias("_tokens"))
 
-    With the topics known, per-topic sums become columns of one aggregate by
-    term, which needs a single shuffle and no join with the topics.
-    """
-    sizes = docs.groupBy(topic).agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size(token_array)).alias("tokens"))
-    found = sizes.limit(max_topics + 1).collect()
-    if len(found) > max_topics:
-        raise ValueError(f"more than {max_topics} topics in {topic}")
-    return sorted((r[topic], r["docs"], r["tokens"]) for r in found)
+
+def every_topic(docs, topic=TOPIC):
+    """All topics with their documents as one sorted array, for results that have a row per topic and term."""
+    sizes = docs.groupBy(topic).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.array_sort(F.collect_list(F.struct(F.col(topic).alias("t"), "n")))).scalar()
 
 
-def _sum_per_topic(sizes, topic, amount, prefix):
-    """One aggregate column per topic: the sum of `amount` over its rows."""
-    return [
-        F.coalesce(F.sum(F.when(F.col(topic) == t, amount)), F.lit(0)).alias(f"{prefix}{i}")
-        for i, (t, _, _) in enumerate(sizes)
-    ]
+def by_topic_map(rows, topic, key, **amounts):
+    """Per key a map from topic to sums: partial sums by (key, topic) first, so a map has one entry per topic."""
+    sums = rows.groupBy(key, topic).agg(*[F.sum(c).alias(name) for name, c in amounts.items()])
+    return sums.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(topic), F.struct(*amounts)))).alias("_by"),
+        *[F.sum(name).alias(f"_all_{name}") for name in amounts],
+        *[F.count_if(F.col(name) > 0).alias(f"_topics_{name}") for name in amounts],
+    )
 
 
 def topic_term_stats(docs, token_array="tokens", topic=TOPIC):
     """Counts, frequencies and lift of every token in every topic it occurs in."""
-    sizes = topic_sizes(docs, token_array, topic)
-    counts = docs.select(topic, F.explode(token_array).alias(TERM)).groupBy(TERM).agg(
-        F.count(F.lit(1)).alias("corpus_term_count"), *_sum_per_topic(sizes, topic, F.lit(1), "_c")
-    )
-    all_tokens = sum(tokens for _, _, tokens in sizes)
-    overall = F.col("corpus_term_count") / F.lit(all_tokens)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(t).alias(topic),
-                F.col(f"_c{i}").alias("topic_term_count"),
-                F.lit(n_docs).cast("long").alias("topic_doc_count"),
-                F.round(F.col(f"_c{i}") / F.lit(tokens), 6).alias("topic_term_freq"),
-                F.round(F.col(f"_c{i}") / F.lit(tokens) / overall, 4).alias("topic_specific_ratio"),
-            )
-            for i, (t, n_docs, tokens) in enumerate(sizes)
-        ]
-    )
-    present = F.filter(rows, lambda r: r["topic_term_count"] > 0)
-    long = counts.select(TERM, "corpus_term_count", F.round(overall, 6).alias("corpus_term_freq"), F.inline(present))
-    return long.select(
+    counts = docs.select(topic, F.explode(token_array).alias(TERM)).groupBy(topic, TERM).agg(F.count(F.lit(1)).alias("topic_term_count"))
+    corpus = counts.groupBy(TERM).agg(F.sum("topic_term_count").alias("corpus_term_count"))
+    total = docs.agg(F.sum(F.size(token_array))).scalar()
+    share, overall = F.col("topic_term_count") / F.col("_tokens"), F.col("corpus_term_count") / total
+    return counts.join(corpus, TERM).join(topic_sizes(docs, token_array, topic), topic).select(
         topic, TERM, "topic_term_count", "corpus_term_count", "topic_doc_count",
-        "topic_term_freq", "corpus_term_freq", "topic_specific_ratio",
+        F.round(share, 6).alias("topic_term_freq"), F.round(overall, 6).alias("corpus_term_freq"),
+        F.round(share / overall, 4).alias("topic_specific_ratio"),
     )
 
 
@@ -147,7 +129,7 @@ def min_max_within(df, columns, by=TOPIC, digits=6):
     extremes = df.groupBy(by).agg(
         *[F.min(c).alias(f"_lo_{c}") for c in columns], *[F.max(c).alias(f"_hi_{c}") for c in columns]
     )
-    joined = df.join(small(extremes), by)
+    joined = df.join(extremes, by)
     scaled = {}
     for c in columns:
         lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
@@ -166,7 +148,7 @@ def vocabulary(pairs, docs, min_df=K.MIN_DF, max_df=K.MAX_DF, by=()):
     """
     df_ = pairs.groupBy(*by, TERM).agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df)
     if by:
-        df_ = df_.join(small(docs.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))), list(by))
+        df_ = df_.join(docs.groupBy(*by).agg(F.count(F.lit(1)).alias("n")), list(by))
     else:
         df_ = df_.withColumn("n", row_count(docs))
     return df_ if max_df is None else df_.where(F.col("df") <= F.col("n") * max_df)
@@ -200,32 +182,29 @@ def topic_vs_rest_tfidf(docs, ngram_range=(1, 1), token_array="tokens", topic=TO
     term has a row for every topic. A term found in one topic only has ratio
     infinity there.
     """
-    sizes = topic_sizes(docs, token_array, topic)
-    n = sum(n_docs for _, n_docs, _ in sizes)
+    topics = every_topic(docs, topic)
+    n = row_count(docs)
     pairs = ngram_counts(docs, ngram_range, token_array, (id_col, topic))
     weights = tfidf(pairs, vocabulary(pairs, docs, min_df, max_df), id_col=id_col)
-    sums = weights.groupBy(TERM).agg(*_sum_per_topic(sizes, topic, F.col("value"), "_w"))
-    w = [F.col(f"_w{i}") for i in range(len(sizes))]
-    whole = sums.withColumns(
-        {"_sum": reduce(add, w), "_topics": reduce(add, [(x > 0).cast("int") for x in w])}
-    )
-    rows = []
-    for x, (t, n_docs, _) in zip(w, sizes):
-        nowhere_else = F.col("_topics") == (x > 0).cast("int")
-        rest = F.when(nowhere_else, F.lit(0.0)).otherwise((F.col("_sum") - x) / F.lit(max(n - n_docs, 1)))
-        rows.append(
-            F.struct(
-                F.lit(t).alias(topic), (x / F.lit(n_docs)).alias("_here"), rest.alias("_rest"),
-                F.lit(n_docs).alias("topic_doc_count"), F.lit(n - n_docs).alias("other_doc_count"),
-            )
+    whole = by_topic_map(weights, topic, TERM, w="value")
+
+    def row(x):
+        w = F.coalesce(F.try_element_at("_by", x["t"])["w"], F.lit(0.0))
+        nowhere_else = F.col("_topics_w") == (w > 0).cast("int")
+        rest = F.when(nowhere_else, F.lit(0.0)).otherwise((F.col("_all_w") - w) / F.greatest(F.col("_n") - x["n"], F.lit(1)))
+        return F.struct(
+            x["t"].alias(topic), (w / x["n"]).alias("_here"), rest.alias("_rest"),
+            x["n"].alias("topic_doc_count"), (F.col("_n") - x["n"]).alias("other_doc_count"),
         )
+
+    rows = whole.withColumns({"_n": n, "_every": topics}).select(TERM, F.inline(F.transform("_every", row)))
     here, rest = F.col("_here"), F.col("_rest")
     ratio = (
         F.when(rest > 0, F.round(here / F.when(rest > 0, rest), 4))
         .when(here > 0, F.lit(float("inf")))
         .otherwise(F.lit(0.0))
     )
-    return whole.select(TERM, F.inline(F.array(*rows))).select(
+    return rows.select(
         topic,
         TERM,
         F.round(here, 6).alias("mean_tfidf_in_topic"),
@@ -242,7 +221,7 @@ def local_tfidf(docs, ngram_range=(1, 1), token_array="tokens", topic=TOPIC, id_
     weights = tfidf(pairs, vocabulary(pairs, docs, min_df, max_df, by=(topic,)), by=(topic,), id_col=id_col)
     sums = weights.groupBy(topic, TERM).agg(F.sum("value").alias("w"))
     sizes = docs.groupBy(topic).agg(F.count(F.lit(1)).alias("topic_doc_count"))
-    return sums.join(small(sizes), topic).select(
+    return sums.join(sizes, topic).select(
         topic, TERM, F.round(F.col("w") / F.col("topic_doc_count"), 6).alias("mean_tfidf_local"), "topic_doc_count"
     )
 
@@ -252,31 +231,25 @@ def local_tfidf(docs, ngram_range=(1, 1), token_array="tokens", topic=TOPIC, id_
 
 def bigram_frequency(docs, token_array="tokens", topic=TOPIC, id_col=ID, min_df=K.MIN_DF, max_df=K.MAX_DF):
     """Counts, shares and document ratios of every retained bigram in every topic, zeros included."""
-    sizes = topic_sizes(docs, token_array, topic)
-    n = sum(n_docs for _, n_docs, _ in sizes)
-    pairs = ngram_counts(docs, (2, 2), token_array, (id_col, topic))
+    topics = every_topic(docs, topic)
+    pairs = ngram_counts(docs, (2, 2), token_array, (id_col, topic)).withColumn("_one", F.lit(1).cast("long"))
     # Counts and document frequencies come out of the same aggregate as the pruning.
-    counts = pairs.groupBy(F.col(TERM).alias("bigram")).agg(
-        F.count(F.lit(1)).alias("_df"),
-        *_sum_per_topic(sizes, topic, F.col("tf"), "_c"),
-        *_sum_per_topic(sizes, topic, F.lit(1), "_d"),
-    )
-    kept = counts.where((F.col("_df") >= min_df) & (F.col("_df") <= n * max_df))
-    totals = kept.agg(F.struct(*[F.sum(f"_c{i}").alias(f"t{i}") for i in range(len(sizes))])).scalar()
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(t).alias(topic),
-                F.col(f"_c{i}").alias("bigram_count"),
-                F.round(F.when(F.col("_totals")[f"t{i}"] > 0, F.col(f"_c{i}") / F.greatest(F.col("_totals")[f"t{i}"], F.lit(1))).otherwise(F.lit(0.0)), 6).alias("bigram_freq"),
-                F.col(f"_d{i}").alias("bigram_doc_freq"),
-                F.round(F.col(f"_d{i}") / F.lit(n_docs), 6).alias("bigram_doc_ratio"),
-                F.lit(n_docs).cast("long").alias("topic_doc_count"),
-            )
-            for i, (t, n_docs, _) in enumerate(sizes)
-        ]
-    )
-    return kept.withColumn("_totals", totals).select("bigram", F.inline(rows)).select(
+    counts = by_topic_map(pairs, topic, TERM, c="tf", d="_one").withColumnRenamed(TERM, "bigram")
+    kept = counts.where((F.col("_all_d") >= min_df) & (F.col("_all_d") <= row_count(docs) * max_df))
+    totals = kept.select(F.explode("_by").alias("t", "x")).groupBy("t").agg(F.sum("x.c").alias("total"))
+    held = totals.agg(F.map_from_entries(F.collect_list(F.struct("t", "total")))).scalar()  # one entry per topic
+
+    def row(x):
+        found = F.try_element_at("_by", x["t"])
+        c, d = F.coalesce(found["c"], F.lit(0)), F.coalesce(found["d"], F.lit(0))
+        total = F.coalesce(F.try_element_at("_totals", x["t"]), F.lit(0))
+        return F.struct(
+            x["t"].alias(topic), c.alias("bigram_count"),
+            F.round(F.when(total > 0, c / F.greatest(total, F.lit(1))).otherwise(F.lit(0.0)), 6).alias("bigram_freq"),
+            d.alias("bigram_doc_freq"), F.round(d / x["n"], 6).alias("bigram_doc_ratio"), x["n"].alias("topic_doc_count"),
+        )
+
+    return kept.withColumns({"_totals": held, "_every": topics}).select("bigram", F.inline(F.transform("_every", row))).select(
         topic, "bigram", "bigram_count", "bigram_freq", "bigram_doc_freq", "bigram_doc_ratio", "topic_doc_count"
     )
 
@@ -289,7 +262,7 @@ def bigram_coverage(docs, token_array="tokens", topic=TOPIC, id_col=ID, min_df=K
     per_topic = covered.groupBy(topic).agg(F.count(F.lit(1)).alias("docs_with_bigram"))
     sizes = docs.groupBy(topic).agg(F.count(F.lit(1)).alias("topic_doc_count"))
     hit = F.coalesce(F.col("docs_with_bigram"), F.lit(0))
-    return sizes.join(small(per_topic), topic, "left").select(
+    return sizes.join(per_topic, topic, "left").select(
         topic,
         "topic_doc_count",
         hit.alias("docs_with_bigram"),

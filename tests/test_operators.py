@@ -6,11 +6,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lexitally import constants as K
-from lexitally.functions.guards import bounded
 from lexitally.functions.text import long_tokens
 from lexitally.operators import dedup as D
 from lexitally.operators import models as L
@@ -67,10 +65,18 @@ def test_csv_round_trip(spark, tmp_path):
     assert rows_of(read_csv(spark, str(tmp_path / "out"), "post_id long, t string")) == rows
 
 
-def test_small_relations_are_checked(spark):
-    assert bounded(spark.range(3), 3).count() == 3
-    with pytest.raises(PySparkException, match="declared small"):
-        bounded(spark.range(5), 3).collect()
+def test_many_topics_and_classes(spark):
+    """500 topics and 300 classes: nothing depends on there being few."""
+    rows = [(i, f"t{i % 500:03d}", ["all", f"w{i % 500}", f"w{i % 7}"], f"c{i % 300:03d}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "post_id long, topic string, tokens array<string>, label string")
+    stats = T.topic_term_stats(docs).where("term = 'all'").collect()
+    assert len(stats) == 500 and {(r.topic_term_count, r.corpus_term_count, r.topic_doc_count) for r in stats} == {(6, 3000, 6)}
+    ratios = T.topic_vs_rest_tfidf(docs, min_df=2, max_df=0.9)
+    assert ratios.where("term = 'w499'").count() == 500
+    only = ratios.where("term = 'w499' AND topic = 't499'").first()
+    assert only.topic_distinctiveness_ratio == float("inf") and only.other_doc_count == 2994
+    split = stratified_split(docs, "post_id", "label").groupBy("label").agg(F.count_if(F.col("split") == "test").alias("n")).collect()
+    assert len(split) == 300 and {r.n for r in split} == {2} and sum(r.n for r in split) == 600
 
 
 # --- de-duplication and collection --------------------------------------------------------
