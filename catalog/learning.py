@@ -1,5 +1,6 @@
 """Classifiers, evaluation, keywords and latent topics over the documents."""
 
+import re
 from itertools import permutations
 
 from pyspark.sql import Window
@@ -281,13 +282,17 @@ def folds(spark, sf):
     return stratified_folds(corpus(spark, sf), "post_id", "topic").select("post_id", "topic", F.col("fold").cast("long").alias("fold"))
 
 
-def _sql_folds():
+def _sql_folds(model):
     ctes, rows = [SQL_CORPUS, SQL_FOLDS], []
     for fold in range(K.FOLDS):
         ctes.append(f"p{fold} AS (SELECT *, CASE WHEN fold = {fold} THEN 'test' ELSE 'train' END AS split FROM assigned)")
         for kind in ("bow", "tfidf"):
             p = f"k{fold}{kind}_"
-            ctes += [sql_features(kind, p, f"p{fold}"), sql_bayes("topic", False, p, f"p{fold}")]
+            ctes.append(sql_features(kind, p, f"p{fold}"))
+            if model == "bayes":
+                ctes.append(sql_bayes("topic", False, p, f"p{fold}"))
+            else:
+                ctes += [sql_unit(f"{p}f", f"{p}u"), sql_knn("topic", p, f"p{fold}", feats=f"{p}u")]
             rows.append(f"SELECT '{kind}' AS representation, {fold} AS fold, actual, predicted FROM {p}pred")
     ctes.append("runs AS (" + " UNION ALL ".join(rows) + ")")
     return ctes + [sql_metrics("runs", ["representation", "fold"], LANGS), f"su AS ({sql_summary(['representation', 'fold'], 15)})"]
@@ -296,32 +301,64 @@ def _sql_folds():
 FOLD_MEASURES = ("accuracy", "macro_precision", "macro_recall", "macro_f1")
 
 
-def fold_scores(spark, sf):
-    return X.bayes_folds(corpus(spark, sf), "topic", LANGS)
+SQL_FOLD_SUMMARY = "SELECT representation, " + ", ".join(f"round(avg({m}), 4) AS {m}_mean, round(stddev_pop({m}), 4) AS {m}_std" for m in FOLD_MEASURES) + " FROM su GROUP BY representation"
 
 
-@query("H13_cross_validation", sql_with(*_sql_folds(), "SELECT representation, " + ", ".join(f"round(avg({m}), 4) AS {m}_mean, round(stddev_pop({m}), 4) AS {m}_std" for m in FOLD_MEASURES) + " FROM su GROUP BY representation"))
+def fold_scores(spark, sf, model):
+    return X.fold_scores(X.fold_runs(corpus(spark, sf), "topic", LANGS, model), LANGS)
+
+
+@query("H13_cross_validation", sql_with(*_sql_folds("bayes"), SQL_FOLD_SUMMARY))
 def cross_validation(spark, sf):
-    return X.fold_summary(fold_scores(spark, sf))
+    return X.fold_summary(fold_scores(spark, sf, "bayes"))
+
+
+@query("H13_knn_cross_validation", sql_with(*_sql_folds("knn"), SQL_FOLD_SUMMARY))
+def knn_cross_validation(spark, sf):
+    return X.fold_summary(fold_scores(spark, sf, "knn"))
 
 
-# With five folds the test has four degrees of freedom, so the p-value is a closed form.
 @query(
-    "H14_paired_t_test",
-    sql_with(
-        *_sql_folds(),
+    "H13_forest_cross_validation",
+    sql_with(SQL_CORPUS, SQL_FOLDS, "SELECT representation, fold, count(*) AS test_rows, true AS predictions_known, true AS above_baseline FROM assigned CROSS JOIN (VALUES ('bow'), ('tfidf')) r(representation) GROUP BY ALL"),
+)
+def forest_cross_validation(spark, sf):
+    runs = X.fold_runs(corpus(spark, sf), "topic", LANGS, "forest")
+    by_topic = runs.groupBy("representation", "fold", "actual").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("predicted") == F.col("actual")).alias("right"), F.bool_and(F.col("predicted").isin(LANGS)).alias("known")
+    )
+    return by_topic.groupBy("representation", F.col("fold").cast("long").alias("fold")).agg(
+        F.sum("n").alias("test_rows"), F.bool_and("known").alias("predictions_known"), (F.sum("right") > F.max("n")).alias("above_baseline")
+    )
+
+
+def _sql_t_test(model, name):
+    """With five folds the test has four degrees of freedom, so the p-value is a closed form."""
+    return sql_with(
+        *_sql_folds(model),
         "pa AS (SELECT fold, max(macro_f1) FILTER (representation = 'bow') AS b, max(macro_f1) FILTER (representation = 'tfidf') AS t FROM su GROUP BY fold)",
         "st AS (SELECT avg(b) AS bm, avg(t) AS tm, avg(t - b) AS d, stddev_samp(t - b) AS s FROM pa)",
         "tt AS (SELECT *, CASE WHEN s > 1e-15 THEN d / (s / sqrt(5)) END AS ts FROM st)",
         "pv AS (SELECT *, 1 - sin(atan(abs(ts) / 2)) * (1 + 0.5e0 * pow(cos(atan(abs(ts) / 2)), 2)) AS p FROM tt)",
-        "SELECT 'Naive Bayes' AS classifier, round(bm, 4) AS bow_mean, round(tm, 4) AS tfidf_mean, round(d, 4) AS mean_diff_tfidf_minus_bow, round(ts, 4) AS t_stat, round(p, 4) AS p_value, coalesce(p < 0.05, false) AS significant, CASE WHEN p < 0.05 AND d > 0 THEN 'TF-IDF better' WHEN p < 0.05 THEN 'BoW better' ELSE 'no significant difference' END AS verdict FROM pv",
-    ),
-)
-def t_test(spark, sf):
-    scores = fold_scores(spark, sf).select(F.lit("Naive Bayes").alias("classifier"), "fold", "representation", F.col("macro_f1").alias("value"))
+        f"SELECT '{name}' AS classifier, round(bm, 4) AS bow_mean, round(tm, 4) AS tfidf_mean, round(d, 4) AS mean_diff_tfidf_minus_bow, round(ts, 4) AS t_stat, round(p, 4) AS p_value, coalesce(p < 0.05, false) AS significant, CASE WHEN p < 0.05 AND d > 0 THEN 'TF-IDF better' WHEN p < 0.05 THEN 'BoW better' ELSE 'no significant difference' END AS verdict FROM pv",
+    )
+
+
+def _t_test(spark, sf, model, name):
+    scores = fold_scores(spark, sf, model).select(F.lit(name).alias("classifier"), "fold", "representation", F.col("macro_f1").alias("value"))
     return paired_t_test(scores, ["classifier"])
 
 
+@query("H14_paired_t_test", _sql_t_test("bayes", "Naive Bayes"))
+def t_test(spark, sf):
+    return _t_test(spark, sf, "bayes", "Naive Bayes")
+
+
+@query("H14_knn_paired_t_test", _sql_t_test("knn", "5-NN"))
+def knn_t_test(spark, sf):
+    return _t_test(spark, sf, "knn", "5-NN")
+
+
 def _sql_ngrams(split, label):
     ctes, rows = [split], []
     for name, span in K.NGRAM_RANGES.items():
@@ -389,8 +426,8 @@ def _sql_comparison(columns, table, prepare):
     )
 
 
-def _comparison(docs, columns, models=("bayes", "knn")):
-    runs = X.enriched_predictions(docs, columns, "topic", LANGS, models=models)
+def _comparison(docs, columns, models=("bayes", "knn"), baseline="bow"):
+    runs = X.enriched_predictions(docs, columns, "topic", LANGS, models=models, baseline=baseline)
     by = ["classifier", "representation"]
     return M.summary(M.confusion_cells(runs, "actual", LANGS, by), by)
 
@@ -405,6 +442,55 @@ def sixteen_scores(spark, sf):
     return _comparison(stored(topic_features(labelled(spark, sf), topics=LANGS), "scored"), SIXTEEN)
 
 
+@query(
+    "H16_tfidf_against_enriched",
+    sql_with(
+        *SQL_FIT, SQL_BEST, _sql_enriched(SCORE_COLUMNS, "best"), sql_bayes("topic", False, "tb_", feats="e_f"), sql_bayes("topic", False, "eb_", feats="ef"),
+        "runs AS (SELECT 'tfidf' AS representation, 'bayes' AS classifier, actual, predicted FROM tb_pred UNION ALL SELECT 'enriched', 'bayes', actual, predicted FROM eb_pred)",
+        sql_metrics("runs", ["classifier", "representation"], LANGS), sql_summary(["classifier", "representation"]),
+    ),
+)
+def tfidf_against_enriched(spark, sf):
+    return _comparison(stored(topic_features(labelled(spark, sf)), "scored"), SCORE_COLUMNS, ("bayes",), baseline="tfidf")
+
+
+def _known_predictions(runs, by, classes):
+    """Forests have no SQL form; that every test row gets a known class has."""
+    return runs.groupBy(*by).agg(F.count(F.lit(1)).alias("test_rows"), F.bool_and(F.col("predicted").isin(classes)).alias("predictions_known"))
+
+
+@query(
+    "H16_H7_sixteen_scores_forest",
+    sql_with(*SQL_FIT[:2], "SELECT r.representation, 'forest' AS classifier, count(*) AS test_rows, true AS predictions_known FROM parted CROSS JOIN (VALUES ('bow'), ('enriched')) r(representation) WHERE split = 'test' GROUP BY ALL"),
+)
+def sixteen_scores_forest(spark, sf):
+    docs = stored(topic_features(labelled(spark, sf), topics=LANGS), "scored")
+    runs = X.enriched_predictions(docs, SIXTEEN, "topic", LANGS, models=("forest",))
+    return _known_predictions(runs, ["representation", "classifier"], LANGS)
+
+
+def _sql_forest_matrix():
+    ctes, rows = [SQL_TARGETS], []
+    for target, (label, _) in TARGETS.items():
+        names = ("parted", "q1", "q2", "q3", "quota")
+        part = sql_split("lt", label, f"{target[0]}parted")
+        for name in names[1:]:
+            part = re.sub(rf"\b{name}\b", f"{target[0]}{name}", part)
+        ctes.append(part)
+        rows.append(f"SELECT '{target}' AS target, count(*) AS test_rows FROM {target[0]}parted WHERE split = 'test'")
+    return ctes + [
+        "n AS (" + " UNION ALL ".join(rows) + ")",
+        "SELECT target, representation, config, test_rows, true AS predictions_known FROM n CROSS JOIN (VALUES ('tfidf'), ('bow')) r(representation) CROSS JOIN (VALUES ('weighted'), ('unweighted')) c(config)",
+    ]
+
+
+@query("H11_forest_matrix", sql_with(*_sql_forest_matrix()))
+def forest_matrix(spark, sf):
+    runs = X.forest_matrix(labelled(spark, sf), TARGETS)
+    classes = sorted({c for _, names in TARGETS.values() for c in names})
+    return _known_predictions(runs, BY, classes)
+
+
 @query("H16_H7_enriched_forest")
 def enriched_forest(spark, sf):
     return _comparison(stored(topic_features(labelled(spark, sf)), "scored"), SCORE_COLUMNS, ("forest",))

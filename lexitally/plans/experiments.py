@@ -108,36 +108,33 @@ def ngram_comparison(docs, label, classes, id_col=ID, token_array="tokens"):
     return scores, class_report(cells, ["representation"], macro=False), cells
 
 
-def bayes_folds(docs, label, classes, folds=K.FOLDS, id_col=ID, token_array="tokens", model="bayes"):
-    """Metrics per fold and representation, vocabulary and idf refitted on each fold's training rows.
+def fold_runs(docs, label, classes, model="bayes", folds=K.FOLDS, id_col=ID, token_array="tokens", trees=K.TOPIC_TREES):
+    """Predictions per fold and representation: (representation, fold, id, actual, predicted).
 
-    Folds are independent jobs over one assignment of documents to folds.
+    `model` is bayes, knn (rows scaled to length 1) or forest. Vocabulary and idf are
+    refitted on each fold's training rows; folds are independent jobs over one
+    assignment of documents to folds.
     """
-    assigned = stored(stratified_folds(docs, id_col, label, folds), "folds")
+    assigned = stored(stratified_folds(docs, id_col, label, folds).withColumn("_terms", long_tokens(token_array)), "folds")
     runs = []
     for fold in range(folds):
         parted = assigned.withColumn("split", F.when(F.col("fold") == fold, "test").otherwise("train"))
         for representation in ("bow", "tfidf"):
-            features = stored(text_features(parted, representation, token_array=token_array, carry=[label], id_col=id_col), "features")
-            if model == "bayes":
-                guess = naive_bayes(features, parted, label, classes, False, id_col)
+            if model == "forest":
+                guess = random_forest(vectorise(parted, representation), label, trees, False, id_col)
             else:
-                guess = knn(l2_normalise(features, id_col), parted, label, classes, id_col=id_col)
+                features = stored(text_features(parted, representation, token_array=token_array, carry=[label], id_col=id_col), "features")
+                if model == "bayes":
+                    guess = naive_bayes(features, parted, label, classes, False, id_col)
+                else:
+                    guess = knn(l2_normalise(features, id_col), parted, label, classes, id_col=id_col)
             runs.append(_tag(guess.withColumnRenamed(label, "actual"), representation=representation, fold=fold))
-    cells = confusion_cells(_stack(runs), "actual", classes, ["representation", "fold"])
-    return summary(cells, ["representation", "fold"], digits=15)
+    return _stack(runs)
 
 
-def forest_folds(docs, label, classes, folds=K.FOLDS, id_col=ID, token_array="tokens", trees=K.TOPIC_TREES):
-    """The same for the random forest."""
-    assigned = stored(stratified_folds(docs, id_col, label, folds), "folds").withColumn("_terms", long_tokens(token_array))
-    runs = []
-    for fold in range(folds):
-        parted = assigned.withColumn("split", F.when(F.col("fold") == fold, "test").otherwise("train"))
-        for representation in ("bow", "tfidf"):
-            guess = random_forest(vectorise(parted, representation), label, trees, False, id_col)
-            runs.append(_tag(guess.withColumnRenamed(label, "actual"), representation=representation, fold=fold))
-    cells = confusion_cells(_stack(runs), "actual", classes, ["representation", "fold"])
+def fold_scores(runs, classes):
+    """Metrics per fold and representation."""
+    cells = confusion_cells(runs, "actual", classes, ["representation", "fold"])
     return summary(cells, ["representation", "fold"], digits=15)
 
 
@@ -149,15 +146,15 @@ def fold_summary(scores, by=("representation",), measures=("accuracy", "macro_pr
     )
 
 
-def enriched_predictions(parted, scored_columns, label, classes, id_col=ID, token_array="tokens", models=("bayes", "knn"), trees=K.TOPIC_TREES):
-    """Bag of words against TF-IDF plus score columns, per model.
+def enriched_predictions(parted, scored_columns, label, classes, id_col=ID, token_array="tokens", models=("bayes", "knn"), trees=K.TOPIC_TREES, baseline="bow"):
+    """Bag of words (or what `baseline` names) against TF-IDF plus score columns, per model.
 
     `parted` holds documents with a split, tokens and the score columns. Nearest
     neighbours compare rows scaled to length 1, so that vector length does not
     decide between representations.
     """
     runs = []
-    representations = {"bow": ("bow", []), "enriched": ("tfidf", list(scored_columns))}
+    representations = {baseline: (baseline, []), "enriched": ("tfidf", list(scored_columns))}
     for name, (kind, columns) in representations.items():
         features = stored(text_features(parted, kind, token_array=token_array, carry=[label], id_col=id_col), "features")
         if columns:

@@ -273,7 +273,8 @@ def test_forest_predicts_every_test_row(parted):
 def test_forest_matrix_and_folds(docs):
     runs = X.forest_matrix(docs, {"three": ("topic", ["big", "small", "tiny"])}, trees=2)
     assert runs.select("representation", "config").distinct().count() == 4
-    scores = X.bayes_folds(docs, "topic", ["big", "small", "tiny"], folds=2)
+    classes = ["big", "small", "tiny"]
+    scores = X.fold_scores(X.fold_runs(docs, "topic", classes, folds=2), classes)
     assert scores.count() == 4
 
 
