@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from lexitally import constants as K
 from lexitally.functions.text import alphabetic_tokens, drop_tokens, ngrams
-from lexitally.operators.models import fit_naive_bayes
-from lexitally.operators.terms import ID, TERM, bag_of_words, term_counts, top_n, top_n_overall, vocabulary
+from lexitally.operators.models import balanced_weights, class_sizes, smoothed_log_probs
+from lexitally.operators.terms import ID, TERM, term_counts, top_n, top_n_overall
+from lexitally.session import stored
 
 
 def keyword_counts(docs, text, keys, ngram_range, stop_words=K.KEYWORD_STOP_WORDS):
@@ -18,12 +19,20 @@ def keyword_counts(docs, text, keys, ngram_range, stop_words=K.KEYWORD_STOP_WORD
 
 
 def class_log_probs(docs, text, label, ngram_range=(1, 1), min_df=K.UNIGRAM_KEYWORD_MIN_DF, classes=K.LABELS, stop_words=K.KEYWORD_STOP_WORDS, id_col=ID):
-    """Per term: log probability in every class under balanced weights, and its total count."""
+    """Per term: log probability in every class under balanced weights, and its total count.
+
+    Documents, class sums and total of a term come out of one aggregate, which map
+    tasks reduce: a term that most documents hold is one row a task.
+    """
     texts = docs.where(F.col(text).isNotNull())
     counts = keyword_counts(texts, text, (id_col, label), ngram_range, stop_words)
-    kept = bag_of_words(counts, vocabulary(counts, texts, min_df, None))
-    terms, _ = fit_naive_bayes(kept, texts, label, classes, True)
-    return terms.join(kept.groupBy(TERM).agg(F.sum("value").alias("total_count")), TERM)
+    weights = balanced_weights(class_sizes(texts, label, classes))
+    sums = counts.groupBy(TERM).agg(
+        F.count(F.lit(1)).alias("_df"), F.sum(F.col("tf").cast("double")).alias("total_count"),
+        *[(F.lit(w) * F.sum(F.when(F.col(label) == c, F.col("tf")).otherwise(0))).alias(f"_s{k}") for k, (c, w) in enumerate(zip(classes, weights))],
+    )
+    kept = stored(sums.where(F.col("_df") >= min_df).drop("_df"), "keyword-sums")
+    return smoothed_log_probs(kept, len(classes), ["total_count"])
 
 
 def discriminative_terms(log_probs, classes=K.LABELS, n=K.TOP_KEYWORDS):

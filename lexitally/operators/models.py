@@ -81,16 +81,20 @@ def fit_naive_bayes(features, train, label, classes, weighted=False, store=store
             for k, (c, w) in enumerate(zip(classes, weights))
         ]
     )
-    sums = store(sums, "bayes-terms")
-    *totals, n_features = sums.agg(*[F.sum(f"_s{k}") for k in range(len(classes))], F.count(F.lit(1))).first()
-    terms = sums.select(
-        TERM,
-        *[(F.ln(F.col(f"_s{k}") + 1) - F.lit(log((t or 0.0) + n_features) if n_features else 0.0)).alias(f"_lp{k}") for k, t in enumerate(totals)],
-    )
+    terms = smoothed_log_probs(store(sums, "bayes-terms"), len(classes))
     mass = [w * n for w, n in zip(weights, sizes)]
     return terms, [log(m / sum(mass)) if m else float("-inf") for m in mass]
 
 
+def smoothed_log_probs(sums, n_classes, carry=()):
+    """Log probability of every term per class, from the class sums `_s0`, `_s1`, ... of a written table."""
+    *totals, n_features = sums.agg(*[F.sum(f"_s{k}") for k in range(n_classes)], F.count(F.lit(1))).first()
+    return sums.select(
+        TERM, *carry,
+        *[(F.ln(F.col(f"_s{k}") + 1) - F.lit(log((t or 0.0) + n_features) if n_features else 0.0)).alias(f"_lp{k}") for k, t in enumerate(totals)],
+    )
+
+
 def predict_naive_bayes(terms, priors, features, docs, label, classes, id_col=ID):
     """Most probable class per document: (id, label, predicted).
 

@@ -10,6 +10,7 @@ from lexitally import constants as K
 from lexitally.functions.guards import row_count
 from lexitally.functions.labels import display_name, negative_or_not, positive_or_not
 from lexitally.operators.ordering import running_total
+from lexitally.session import stored
 
 
 def group_counts(df, *by, name="count"):
@@ -133,7 +134,7 @@ def describe(df, column):
     Quartiles are read off the running count over the distinct values, so no
     task ever holds all of them.
     """
-    values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    values = stored(df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n")), "distinct-values")
     ranked = running_total(values, column, "_n", "_before").withColumn("_last", values.agg(F.sum("_n")).scalar() - 1)
 
     def at(position):
@@ -155,7 +156,9 @@ def describe(df, column):
         f"p{int(q * 100)}": F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (place[q] - F.floor(place[q]))
         for i, q in enumerate(quartiles)
     }
-    deviation = df.agg(F.round(F.stddev_samp(column), 6)).scalar()
+    mean = values.agg(F.sum(F.col(column) * F.col("_n")) / F.sum("_n")).scalar()
+    spread = F.sum(F.col("_n") * F.pow(F.col(column) - mean, F.lit(2.0)))
+    deviation = values.agg(F.when(F.sum("_n") > 1, F.round(F.sqrt(spread / F.greatest(F.sum("_n") - 1, F.lit(1))), 6))).scalar()
     return summary.withColumns({**between, "std": deviation}).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
