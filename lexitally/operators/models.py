@@ -17,7 +17,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexitally import constants as K
-from lexitally.functions.guards import row_count
 from lexitally.operators.reports import class_weights
 from lexitally.operators.terms import ID, TERM, bag_of_words, ngram_counts, tfidf, vocabulary
 from lexitally.session import stored
@@ -128,31 +127,34 @@ def naive_bayes(features, docs, label, classes, weighted=False, id_col=ID, split
 # --- nearest neighbours --------------------------------------------------------
 
 
-def nearest_neighbours(features, docs, label, k=K.NEIGHBOURS, id_col=ID, split="split", test_block=1000, train_block=5000):
+def nearest_neighbours(features, docs, label, k=K.NEIGHBOURS, id_col=ID, split="split", block_tokens=1_000_000):
     """The k nearest training rows of every test row by Euclidean distance, exact.
 
-    Both sides are hashed into blocks of bounded size and every test block meets
-    every train block in its own task, which keeps only its k best per test row
-    before anything is shuffled again; no pair of documents is ever a row. The
-    arithmetic grows with test rows x train rows, as in any exact search; the
-    data held by one task does not.
+    A document is one row with an array of (term hash, value). Both sides are hashed
+    into blocks of about `block_tokens` terms and every test block meets every train
+    block in its own task, which keeps only its k best per test row before anything
+    is shuffled again; no pair of documents is ever a row. The arithmetic grows with
+    test rows x train terms, as in any exact search; the data held by one task does not.
     """
-    rows = features.select(id_col, split, F.col(TERM).alias("term"), "value")
-    # One marker row per document keeps documents without any known term in play.
-    marker = docs.select(id_col, split, F.lit(None).cast("string").alias("term"), F.lit(0.0).alias("value"))
-    every = rows.unionByName(marker)
-    train, test = docs.where(F.col(split) == "train"), docs.where(F.col(split) == "test")
-    n_train = F.greatest(F.ceil(row_count(train) / train_block), F.lit(1)).cast("int")
-    n_test = F.greatest(F.ceil(row_count(test) / test_block), F.lit(1)).cast("int")
-    block = F.xxhash64(id_col)
-    left = (
-        every.where(F.col(split) == "test").drop(split).withColumn("_tb", F.pmod(block, n_test).cast("int"))
-        .withColumn("_rb", F.explode(F.sequence(F.lit(0), n_train - 1)))
-    )
-    right = (
-        every.where(F.col(split) == "train").drop(split).withColumn("_rb", F.pmod(block, n_train).cast("int"))
-        .withColumn("_tb", F.explode(F.sequence(F.lit(0), n_test - 1)))
+    arrays = features.groupBy(id_col).agg(F.collect_list(F.struct(F.xxhash64(TERM).alias("code"), F.col("value").cast("double").alias("value"))).alias("_x"))
+    rows = docs.select(id_col, split).join(arrays, id_col, "left").select(
+        id_col, split, F.coalesce(F.transform("_x", lambda x: x["code"]), F.array().cast("array<bigint>")).alias("codes"),
+        F.coalesce(F.transform("_x", lambda x: x["value"]), F.array().cast("array<double>")).alias("values"),
     )
+    rows = stored(rows, "document-arrays")
+    block = F.xxhash64(id_col)
+
+    def blocks(side):
+        terms = rows.where(F.col(split) == side).agg(F.coalesce(F.sum(F.size("codes") + 1), F.lit(1))).scalar()
+        return F.ceil(terms / block_tokens).cast("int")
+
+    def dealt(side, own, other):
+        return (
+            rows.where(F.col(split) == side).drop(split).withColumn(own, F.pmod(block, blocks(side)).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), blocks("train" if side == "test" else "test") - 1)))
+        )
+
+    left, right = dealt("test", "_tb", "_rb"), dealt("train", "_rb", "_tb")
     id_type = dict(docs.dtypes)[id_col]
     found = (
         # Both sides come from one table; fresh column identities keep them apart.
@@ -161,40 +163,54 @@ def nearest_neighbours(features, docs, label, k=K.NEIGHBOURS, id_col=ID, split="
     )
     order = Window.partitionBy("test_id").orderBy("distance2", "train_id")
     nearest = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return nearest.join(train.select(F.col(id_col).alias("train_id"), F.col(label).alias("neighbour_label")), "train_id")
+    labels = docs.where(F.col(split) == "train").select(F.col(id_col).alias("train_id"), F.col(label).alias("neighbour_label"))
+    return nearest.join(labels, "train_id")
+
 
+def _block_neighbours(id_col, k, cells=4_000_000):
+    def flat(frame):
+        sizes = np.array([len(c) for c in frame["codes"]])
+        codes = np.concatenate([np.asarray(c, np.int64) for c in frame["codes"]])
+        values = np.concatenate([np.asarray(v, np.float64) for v in frame["values"]])
+        owner = np.repeat(np.arange(len(frame)), sizes)
+        return codes, values, owner, np.bincount(owner, weights=values**2, minlength=len(frame))
 
-def _block_neighbours(id_col, k):
     def nearest(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"test_id": [], "train_id": [], "distance2": []})
         if test.empty or train.empty:
-            return empty
-        # Postings of the train block: rows sorted by term, found by term code.
-        train_ids, train_row = np.unique(train[id_col].to_numpy(), return_inverse=True)
-        length2 = np.bincount(train_row, weights=train["value"].to_numpy() ** 2, minlength=len(train_ids))
-        known = train["term"].notna().to_numpy()
-        codes, vocab = pd.factorize(train["term"].to_numpy()[known])
-        order = np.argsort(codes, kind="stable")
-        post_row, post_val = train_row[known][order], train["value"].to_numpy()[known][order]
-        starts = np.searchsorted(codes[order], np.arange(len(vocab) + 1))
-        index = pd.Index(vocab)
-        keep = min(k, len(train_ids))
-        out = []
-        for test_id, doc in test.groupby(id_col, sort=False):
-            here = index.get_indexer(doc["term"])
-            dot = np.zeros(len(train_ids))
-            for code, value in zip(here, doc["value"].to_numpy()):
-                if code >= 0:
-                    span = slice(starts[code], starts[code + 1])
-                    dot[post_row[span]] += value * post_val[span]
-            d2 = np.round((doc["value"].to_numpy() ** 2).sum() + length2 - 2 * dot, 9) + 0.0
-            best = np.lexsort((train_ids, d2))[:keep]
-            out.append(pd.DataFrame({"test_id": test_id, "train_id": train_ids[best], "distance2": d2[best]}))
+            return pd.DataFrame({"test_id": [], "train_id": [], "distance2": []})
+        codes, values, owner, length2 = flat(test)
+        train_codes, train_values, train_owner, train_length2 = flat(train)
+        # Only terms that a test document has add to a product.
+        vocab, place = np.unique(codes, return_inverse=True)
+        at = np.minimum(np.searchsorted(vocab, train_codes), max(len(vocab) - 1, 0))
+        met = vocab[at] == train_codes if len(vocab) else np.zeros(len(train_codes), bool)
+        at, weight, holder = at[met], train_values[met], train_owner[met]
+        starts = np.flatnonzero(np.diff(holder, prepend=-1))
+        ids, keep, out = train[id_col].to_numpy(), min(k, len(train)), []
+        step = max(1, cells // max(len(at), len(vocab), 1))  # test rows at a time
+        for first in range(0, len(test), step):
+            mine = (owner >= first) & (owner < first + step)
+            some = np.arange(first, min(first + step, len(test)))
+            table = np.zeros((len(some), len(vocab)))
+            table[owner[mine] - first, place[mine]] = values[mine]
+            dot = np.zeros((len(some), len(train)))
+            if len(starts):
+                dot[:, holder[starts]] = np.add.reduceat(table[:, at] * weight, starts, axis=1)
+            d2 = np.round(length2[some, None] + train_length2 - 2 * dot, 9) + 0.0
+            for row, distances in zip(some, d2):
+                best = np.lexsort((ids, distances))[:keep] if len(ids) <= 4 * keep else _least(distances, ids, keep)
+                out.append(pd.DataFrame({"test_id": test[id_col].iloc[row], "train_id": ids[best], "distance2": distances[best]}))
         return pd.concat(out, ignore_index=True)
 
     return nearest
 
 
+def _least(distances, ids, keep):
+    """Places of the `keep` smallest distances, ties to the smaller id."""
+    near = np.flatnonzero(distances <= np.partition(distances, keep - 1)[keep - 1])
+    return near[np.lexsort((ids[near], distances[near]))[:keep]]
+
+
 def knn(features, docs, label, classes, k=K.NEIGHBOURS, id_col=ID, split="split", **blocks):
     """Majority label of the k nearest training rows, smallest label on ties: (id, label, predicted)."""
     near = nearest_neighbours(features, docs, label, k, id_col, split, **blocks)

@@ -65,9 +65,14 @@ def delete_path(spark, path):
 
 @contextmanager
 def stage_folder(spark, name):
-    """A fresh sub-folder of the shared folder for stage tables that are done with at the end of the block."""
+    """`stored` into a fresh sub-folder of the shared folder that is deleted at the end of the block."""
     path = scratch_path(spark, name)
+
+    def stored_here(df, table):
+        df.write.parquet(f"{path}/{table}")
+        return spark.read.parquet(f"{path}/{table}")
+
     try:
-        yield path
+        yield stored_here
     finally:
         delete_path(spark, path)

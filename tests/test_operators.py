@@ -244,7 +244,7 @@ def test_naive_bayes_matches_the_formula(parted):
             assert found[d.post_id] == min(score, key=lambda c: (-score[c], c))
 
 
-@pytest.mark.parametrize("blocks", [{}, {"test_block": 4, "train_block": 7}])
+@pytest.mark.parametrize("blocks", [{}, {"block_tokens": 12}])
 def test_nearest_neighbours_match_brute_force(parted, blocks):
     features = L.text_features(parted, "tfidf").cache()
     found = {}
