@@ -11,9 +11,10 @@ counted over all documents by a 128-bit hash. Of a chunk that occurs again, the
 occurrence with the smallest (id, place) stays; another one goes if its bytes are
 the same as the first one's.
 
-Counts are partial sums before the shuffle; the first occurrence is one row joined
-to all others, which Spark splits if there are very many; only a document's own
-removals are ever gathered.
+Hashes and places alone are shuffled to find what repeats; bytes move only for
+chunks that do. Counts are partial sums before the shuffle; the first occurrence is
+one row joined to all others, which Spark splits if there are very many; only a
+document's own repeated chunks are ever gathered.
 
 Defined results: a null text stays null and an empty one empty; a document may be
 left with an empty text but its row stays; rows that repeat id and text are one
@@ -24,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from lexitally.session import stored
+from lexitally.session import stage_folder, stored
 
 WINDOW = 2
 DIVISOR = 2
@@ -58,63 +59,71 @@ def _row_key(id_col, text):
 
 
 def chunk_table(docs, id_col="doc_id", text="text", least=LEAST_WORDS, passage=PASSAGE_WORDS):
-    """(row, id, start, lines, key, chunk): the chunks that count, of every document."""
+    """(row, id, start, lines, key): the chunks that count, of every document."""
     kind = dict(docs.dtypes)[id_col]
 
     def cut(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                owner, starts, sizes, keys, chunks = [], [], [], [], []
+                owner, starts, sizes, keys = [], [], [], []
                 for i, whole in enumerate(part.column(2).to_pylist()):
                     lines = whole.encode().split(b"\n")
                     for start, n, words in line_chunks(lines, passage=passage):
                         if words >= passage or n > 1 and words >= least:
-                            chunk = b"\n".join(lines[start : start + n])
                             owner.append(i)
                             starts.append(start)
                             sizes.append(n)
-                            keys.append(xxhash.xxh3_128_digest(chunk))
-                            chunks.append(chunk)
+                            keys.append(xxhash.xxh3_128_digest(b"\n".join(lines[start : start + n])))
                 owner = pa.array(owner, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(owner), part.column(1).take(owner), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()),
-                     pa.array(keys, pa.binary()), pa.array(chunks, pa.binary())],
-                    ["row", "id", "start", "lines", "key", "chunk"],
+                    [part.column(0).take(owner), part.column(1).take(owner), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary())],
+                    ["row", "id", "start", "lines", "key"],
                 )
 
     rows = docs.where(F.col(f"`{text}`") != "").select(_row_key(id_col, text).alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(cut, f"row binary, id {kind}, start int, lines int, key binary, chunk binary")
+    return rows.mapInArrow(cut, f"row binary, id {kind}, start int, lines int, key binary")
 
 
-def repeated_chunks(chunks):
-    """(row, start, lines): the occurrences that go, equal byte for byte to an earlier one."""
+def suspects(chunks):
+    """(row, start, lines, key, first): occurrences of chunks that occur again by their hash; first: the one that stays."""
     place = F.struct("id", "row", "start")
-    first = chunks.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("key", "first")
-    again = chunks.join(first, "key")
-    here = F.struct("id", "row", "start")
-    kept = again.where(here.eqNullSafe(F.col("first"))).select("key", F.col("chunk").alias("_first_chunk")).dropDuplicates(["key"])
-    return (
-        again.where(~here.eqNullSafe(F.col("first"))).join(kept, "key").where(F.col("chunk") == F.col("_first_chunk"))
-        .select("row", "start", "lines").distinct()
-    )
+    first = chunks.groupBy("key").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where("_first <> _last").select("key", "_first")
+    return chunks.join(first, "key").select("row", "start", "lines", "key", place.eqNullSafe(F.col("_first")).alias("first")).distinct()
+
+
+def repeated_chunks(docs, found, keep, id_col, text):
+    """(row, start, lines): the suspects that are equal byte for byte to their first occurrence."""
+    per_row = found.groupBy("row").agg(F.collect_list(F.struct("start", "lines", "key", "first")).alias("_found"))
+    rows = docs.select(_row_key(id_col, text).alias("row"), F.col(f"`{text}`").alias("_text")).join(per_row, "row")
+    lines = rows.withColumn("_lines", F.split("_text", "\n")).select("row", "_lines", F.inline("_found"))
+    chunks = lines.select("row", "start", "lines", "key", "first", F.array_join(F.slice("_lines", F.col("start") + 1, F.col("lines")), "\n").alias("chunk"))
+    chunks = keep(chunks.distinct(), "suspects")
+    kept = chunks.where("first").select("key", F.col("chunk").alias("_first_chunk"))
+    return chunks.where(~F.col("first")).join(kept, "key").where(F.col("chunk") == F.col("_first_chunk")).select("row", "start", "lines")
 
 
-def drop_repeated_lines(docs, id_col="doc_id", text="text", **rules):
-    """Every row (its columns as a struct `row`) with `text` after removal, `n_lines` and `n_removed`."""
-    gone = repeated_chunks(stored(chunk_table(docs, id_col, text, **rules), "line-chunks"))
+def drop_repeated_lines(docs, id_col="doc_id", text="text", keep=(), **rules):
+    """Every row (its columns as a struct `row`) with `text` after removal, `n_lines` and `n_removed`.
+
+    `keep`: the input's columns to carry besides; all by default.
+    """
+    with stage_folder(docs.sparkSession, "line-chunks") as write:
+        found = write(suspects(write(chunk_table(docs, id_col, text, **rules), "chunks")), "found")
+        gone = stored(repeated_chunks(docs, found, write, id_col, text), "repeated-lines")
     per_row = gone.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "lines"))).alias("_gone")).withColumnRenamed("row", "_key")
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("_text"), _row_key(id_col, text).alias("_row")
-    )
+    rest = [F.col(f"`{c}`") for c in keep or docs.columns if c != text]
+    rows = docs.select(F.struct(*rest).alias("_rest"), F.col(f"`{text}`").alias("_text"), _row_key(id_col, text).alias("_row"))
     joined = rows.join(per_row, F.col("_row") == F.col("_key"), "left")
     end = F.struct(F.size("_lines").alias("start"), F.lit(0).alias("lines"))
     parts = F.transform(
         F.concat("_gone", F.array(end)),
         lambda x, i: _between("_lines", F.when(i > 0, F.get("_gone", i - 1)["start"] + F.get("_gone", i - 1)["lines"]).otherwise(0), x["start"]),
     )
+    names = keep or docs.columns
+    row = F.struct(*[(F.col("_text") if c == text else F.col(f"_rest.`{c}`")).alias(c) for c in names])
     return joined.withColumn("_lines", F.split("_text", "\n")).select(
-        "row", F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.flatten(parts), "\n")).alias("text"),
+        row.alias("row"), F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.flatten(parts), "\n")).alias("text"),
         F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.aggregate("_gone", F.lit(0).cast("long"), lambda n, x: n + x["lines"]), F.lit(0)).alias("n_removed"),
     )
