@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query
 from catalog.tables import (
-    SQL_CORPUS, SQL_LABELS, adjudications, features, label_table, rater_sheet, sql_drawn, sql_list, sql_norm, sql_with,
+    SQL_CORPUS, SQL_LABELS, adjudications, features, label_table, posts, rater_sheet, sql_drawn, sql_list, sql_norm, sql_with,
 )
 from lexitally import constants as K
 from lexitally.functions.labels import normalise_label
@@ -146,13 +146,16 @@ def topic_by_label(spark, sf):
     return group_counts(with_tokens(features(spark, sf)).join(resolved(spark, sf), "post_id"), "topic", "final_sentiment")
 
 
-# Labels of all posts against the texts of German posts only: most rows find no text.
-@query("D3_feature_text_join", sql_with(SQL_CORPUS, SQL_LABELS, "SELECT l.post_id, l.final_sentiment, array_to_string(toks, ' ') AS text_no_stopwords FROM lab l JOIN prep p ON p.post_id = l.post_id AND p.topic = 'de'"))
+# All documents against the texts of those that have a label: most find no text.
+def labelled_texts(spark, sf):
+    return features(spark, sf).join(label_table(spark, sf).select("post_id"), "post_id", "left_semi")
+
+
+@query("D3_feature_text_join", sql_with(SQL_CORPUS, SQL_LABELS, "SELECT post_id, topic, array_to_string(toks, ' ') AS text_no_stopwords FROM prep WHERE post_id IN (SELECT post_id FROM lab)"))
 def feature_text(spark, sf):
-    texts = features(spark, sf).where(F.col("topic") == "de")
-    return attach_text(label_table(spark, sf), texts)
+    return attach_text(posts(spark, sf).select("post_id", "topic"), labelled_texts(spark, sf))
 
 
-@query("D3_rows_without_text", sql_with(SQL_CORPUS, SQL_LABELS, "SELECT count(*) FILTER (p.post_id IS NULL) AS missing_text FROM lab l LEFT JOIN (SELECT * FROM prep WHERE topic = 'de') p USING (post_id)"))
+@query("D3_rows_without_text", sql_with(SQL_CORPUS, SQL_LABELS, "SELECT count(*) AS missing_text FROM docs WHERE post_id NOT IN (SELECT post_id FROM lab)"))
 def without_text(spark, sf):
-    return rows_without_text(label_table(spark, sf), features(spark, sf).where(F.col("topic") == "de"))
+    return rows_without_text(posts(spark, sf), labelled_texts(spark, sf))
