@@ -6,8 +6,8 @@ groups are the connected components of the links.
 
 Candidates. A signature has `COORDINATES` min-hash values; a class is posted under
 every coordinate-value pair. Linked classes agree in 48 of 64 coordinates on
-average; fewer than `MATCHES` agreements have a chance below one in a million.
-So only classes that agree in `MATCHES` coordinates are compared:
+average; at a similarity of exactly 0.75 fewer than `MATCHES` agreements have a
+chance of about 4 in 100,000, at 0.8 of three in ten million. Only classes that agree in `MATCHES` coordinates are compared:
 - prefix and skip merging: with pairs ordered by how many classes they hold, two
   classes that agree in t pairs share one of the first (shared pairs - t + 1) of
   each; the t - 1 longest lists of a class are skipped, and a class that shares
@@ -15,9 +15,12 @@ So only classes that agree in `MATCHES` coordinates are compared:
 - in each list the class with the most company is the hub. Every class is checked
   against the hubs it meets most, so a group of many near copies takes as many
   checks as it has members. Links found give first components;
-- a list whose classes are now in one component is done. In the others collisions
-  are counted between classes of different components, in blocks of bounded size,
-  and component pairs with a match of `MATCHES` or more are checked in full: each
+- a list whose classes are now in one component is done. In the others a component
+  with `MANY` classes or more is one row and a candidate for all others in the list.
+  Between the classes of the rest collisions are counted, in blocks of bounded size;
+  the first list that two classes share reports their components if they match in
+  `MATCHES` coordinates or more, and in `ALL_MATCHES` with `MORE` others that are not
+  posted (missed at 0.75: 7 in a million). Candidate component pairs are checked in full: each
   class of one against all of the other, in blocks again. No pair inside a
   component, and no pair below the threshold, ever becomes a row.
 
@@ -36,15 +39,20 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lexitally.functions.guards import row_count
 from lexitally.llm.components import connected_components
 from lexitally.llm.shingles import MinHash, set_digest, shingle_set
-from lexitally.session import stored
+from lexitally.session import stage_folder, stored
 
 COORDINATES = 64
-MATCHES = 30
+MATCHES = 34
+MORE = 64
+ALL_MATCHES = 74
 PERCENT = 75
 BLOCK = 512
 HUBS = 2
+MANY = 16
+BUCKET = 1000
 
 
 # --- sets and signatures ----------------------------------------------------------
@@ -57,27 +65,29 @@ def _batched(batches, build, names, step=512):
             yield pa.RecordBatch.from_arrays(build(part), names)
 
 
-def signed(docs, id_col, text, coordinates=COORDINATES):
-    """(id, n_shingles, digest, keys): one row per input row; digest and keys are null without shingles."""
-    family = MinHash(coordinates)
+def signed(docs, id_col, text):
+    """(id, n_shingles, digest, keys, more): one row per input row; without shingles the last three are null."""
+    family = MinHash(COORDINATES + MORE)
 
     def build(part):
         sets = [shingle_set(t) for t in part.column(1).to_pylist()]
-        keys = [None] * len(sets)
+        keys, more = [None] * len(sets), [None] * len(sets)
         full = [i for i, s in enumerate(sets) if len(s)]
         if full:
             for i, row in zip(full, family.signatures([sets[i] for i in full])):
-                keys[i] = row
+                keys[i] = row[:COORDINATES]
+                more[i] = (row[COORDINATES:] >> 16 & 0x7FFFFFFF).astype(np.int32)
         return [
             part.column(0), pa.array([len(s) for s in sets], pa.int64()),
             pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+            pa.array(more, pa.list_(pa.int32())),
         ]
 
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
     return rows.mapInArrow(
-        lambda batches: _batched(batches, build, ["id", "n_shingles", "digest", "keys"]),
-        f"id {kind}, n_shingles long, digest binary, keys array<long>",
+        lambda batches: _batched(batches, build, ["id", "n_shingles", "digest", "keys", "more"]),
+        f"id {kind}, n_shingles long, digest binary, keys array<long>, more array<int>",
     )
 
 
@@ -97,21 +107,24 @@ def full_sets(docs, wanted, id_col, text):
 
 
 def _shared(posted):
-    """(cls, key, n): postings under pairs that n >= 2 classes share."""
+    """(cls, key, pos, n): postings under pairs that n >= 2 classes share."""
     counts = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     return posted.join(counts, "key")
 
 
-def prefix_postings(classes, matches=MATCHES):
-    """(cls, key, weight): the postings that prefix and skip merging leaves; weight: company of the class over all its pairs."""
-    posted = classes.select("cls", F.explode("keys").alias("key"))
-    able = _shared(posted).groupBy("cls").agg(F.collect_list("key").alias("keys")).where(F.size("keys") >= matches)  # at most COORDINATES each
-    able = stored(able, "postings")
-    lists = _shared(able.select("cls", F.explode("keys").alias("key"))).groupBy("cls").agg(
-        F.array_sort(F.collect_list(F.struct("n", "key"))).alias("lists"), F.sum("n").alias("weight")
+def prefix_postings(classes, keep, matches=MATCHES):
+    """(cls, key, pos, weight): the postings that prefix and skip merging leaves.
+
+    pos: the coordinate; weight: company of the class over all its pairs. `keep` writes a stage table.
+    """
+    posted = classes.select("cls", F.posexplode("keys").alias("pos", "key"))
+    able = _shared(posted).groupBy("cls").agg(F.collect_list(F.struct("key", "pos")).alias("keys")).where(F.size("keys") >= matches)  # at most COORDINATES each
+    able = keep(able, "postings")
+    lists = _shared(able.select("cls", F.inline("keys"))).groupBy("cls").agg(
+        F.array_sort(F.collect_list(F.struct("n", "key", "pos"))).alias("lists"), F.sum("n").alias("weight")
     )
     first = F.slice("lists", 1, F.size("lists") - (matches - 1))
-    return lists.where(F.size("lists") >= matches).select("cls", "weight", F.explode(first).alias("x")).select("cls", "weight", "x.key")
+    return lists.where(F.size("lists") >= matches).select("cls", "weight", F.explode(first).alias("x")).select("cls", "weight", "x.key", "x.pos")
 
 
 def hub_pairs(postings, hubs=HUBS):
@@ -133,36 +146,68 @@ def open_pairs(postings, classes, component, matches=MATCHES, block=2 * BLOCK):
 
     component: (cls, comp) of the classes that are in one with others.
     """
-    short = F.transform("keys", lambda k: F.shiftright(k, 20).bitwiseAND(F.lit(0x7FFF)).cast("short"))
+    short = F.transform("keys", lambda k: F.shiftright(k, 16).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     rows = (
-        postings.select("cls", "key").join(component, "cls", "left")
+        postings.select("cls", "key", "pos").join(component, "cls", "left")
         .withColumn("comp", F.coalesce("comp", "cls"))
     )
-    lists = rows.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("m")).where("_a <> _b").select("key", "m")
+    prefixes = postings.groupBy("cls").agg(F.array_sort(F.collect_list("pos")).alias("first"))  # at most COORDINATES each
+    signatures = classes.join(prefixes, "cls").select("cls", "n_shingles", F.concat(short, "more").alias("sig"), "first")
+    held = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    many = held.where(F.col("n") >= MANY)
+    lists = held.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.sum(F.when(F.col("n") < MANY, F.col("n")).otherwise(1)).alias("m"))
+    lists = lists.where("_a <> _b").select("key", "m")
+    few = rows.join(many.select("key", "comp"), ["key", "comp"], "left_anti").join(lists, "key").join(signatures, "cls")
+    whole = many.select("key", "comp").join(lists, "key").withColumn("cls", F.col("comp"))
     blocks, own = _block("cls", F.col("m"), block)
     spread = (
-        rows.join(lists, "key").join(classes.select("cls", "n_shingles", short.alias("sig")), "cls")
+        few.unionByName(whole, allowMissingColumns=True)
         .withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "comp", "n_shingles", "sig")
+        .select("key", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "pos", "comp", "n_shingles", "sig", "first")
     )
 
+    width = F.lit(COORDINATES + MORE)
+    spread = spread.withColumn("sig", F.coalesce("sig", F.array_repeat(F.lit(0), width))).withColumn("whole", F.col("first").isNull())
+    spread = spread.withColumn("bucket", F.pmod(F.xxhash64("key", "i", "j"), 1 + F.ceil(row_count(postings) / BUCKET)))
+
     def counted(frame: pd.DataFrame) -> pd.DataFrame:
-        i, j = frame["i"].iloc[0], frame["j"].iloc[0]
-        sig = np.array(frame["sig"].tolist(), np.int16)
-        comp, size, own = (frame[c].to_numpy() for c in ("comp", "n_shingles", "_own"))
-        found = []
-        for at in range(len(frame)):
-            other = np.arange(at + 1, len(frame))
-            other = other[(comp[other] != comp[at]) & (100 * np.minimum(size[other], size[at]) >= PERCENT * np.maximum(size[other], size[at]))]
-            if i != j:
-                other = other[own[other] != own[at]]
-            if len(other):
-                agree = (sig[other] == sig[at]).sum(axis=1) >= matches
-                found += [(min(comp[at], c), max(comp[at], c)) for c in np.unique(comp[other[agree]])]
-        found = sorted(set(found))
+        """All lists of a bucket: pandas frames are dear, so one holds many short lists."""
+        frame = frame.sort_values(["key", "i", "j", "whole", "comp"], ignore_index=True)
+        key, i, j, comp, size, own, pos = (frame[c].to_numpy(np.int64) for c in ("key", "i", "j", "comp", "n_shingles", "_own", "pos"))
+        whole = frame["whole"].to_numpy(bool)
+        sig = np.array(frame["sig"].tolist(), np.int32).reshape(len(frame), -1)
+        prefix = np.zeros((len(frame), COORDINATES), bool)
+        for row, first in zip(prefix, frame["first"]):
+            if first is not None:
+                row[first] = True
+        new = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        edges = np.concatenate([[0], np.flatnonzero(new) + 1, [len(frame)]])
+        found = set()
+        for low, high in zip(edges[:-1], edges[1:]):
+            same_block = i[low] == j[low]
+            few = low + int(np.searchsorted(whole[low:high], True))  # single classes first, then whole components
+            for at in range(few, high):
+                other = comp[low:high][(comp[low:high] != comp[at]) & (same_block | (own[low:high] != own[at]))]
+                found.update((min(comp[at], c), max(comp[at], c)) for c in np.unique(other))
+            beyond = low + np.searchsorted(comp[low:few], comp[low:few], "right")  # where the next component starts
+            for at, start in zip(range(low, few), beyond):
+                if start == few:
+                    break
+                equal = sig[start:few] == sig[at]
+                near = np.count_nonzero(equal[:, :COORDINATES], axis=1) >= matches
+                near &= np.count_nonzero(equal, axis=1) >= ALL_MATCHES
+                near &= 100 * np.minimum(size[start:few], size[at]) >= PERCENT * np.maximum(size[start:few], size[at])
+                if not same_block:
+                    near &= own[start:few] != own[at]
+                if near.any():
+                    near = np.flatnonzero(near)
+                    # Of the lists that two classes share, the one of the first coordinate reports them.
+                    both = equal[near, :COORDINATES] & prefix[start + near] & prefix[at]
+                    found.update((comp[at], c) for c in comp[start + near[both.argmax(axis=1) == pos[at]]])
+        found = sorted(found)
         return pd.DataFrame({"a": [a for a, _ in found], "b": [b for _, b in found]}, dtype="int64")
 
-    return spread.groupBy("key", "i", "j").applyInPandas(counted, "a long, b long").distinct()
+    return spread.fillna(0, ["pos", "n_shingles"]).groupBy("bucket").applyInPandas(counted, "a long, b long").distinct()
 
 
 def checked(pairs, members, sets, block=BLOCK):
@@ -188,67 +233,89 @@ def checked(pairs, members, sets, block=BLOCK):
     )
 
     def linked(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        found = set()
-        if len(ours) and len(theirs):
-            sets = [np.frombuffer(s, np.uint64) for s in ours["shingles"]]
-            size = np.array([len(s) for s in sets])
-            flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
-            order = np.argsort(flat, kind="stable")
-            flat, owner = flat[order], owner[order]
-            for p, packed in zip(theirs["p"], theirs["shingles"]):
-                if p in found:
-                    continue
-                own = np.frombuffer(packed, np.uint64)
-                low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
-                n = high - low
-                hit = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                common = np.bincount(owner[hit], minlength=len(sets))
-                if (100 * common >= PERCENT * (size + len(own) - common)).any():
-                    found.add(p)
-        g = ours["g"].iloc[0] if len(ours) else 0
-        return pd.DataFrame({"g": [g] * len(found), "p": sorted(found)}, dtype="int64")
-
+        """All blocks of a bucket, one after the other."""
+        partners = {}
+        for g, i, j, p, packed in zip(theirs["g"], theirs["_i"], theirs["_j"], theirs["p"], theirs["shingles"]):
+            partners.setdefault((g, i, j), []).append((p, np.frombuffer(packed, np.uint64)))
+        blocks = {}
+        for g, i, j, packed in zip(ours["g"], ours["_i"], ours["_j"], ours["shingles"]):
+            blocks.setdefault((g, i, j), []).append(np.frombuffer(packed, np.uint64))
+        found = sorted({(block[0], p) for block, sets in blocks.items() for p in _near(sets, partners.get(block, ()))})
+        return pd.DataFrame({"g": [g for g, _ in found], "p": [p for _, p in found]}, dtype="int64")
+
+    bucket = F.pmod(F.xxhash64("g", "_i", "_j"), 1 + F.ceil(row_count(pairs) / BUCKET))
+    left, right = left.withColumn("bucket", bucket), right.withColumn("bucket", bucket)
     # Both sides come from one table; fresh column identities keep them apart.
-    met = left.toDF(*left.columns).groupBy("g", "_i", "_j").cogroup(right.toDF(*right.columns).groupBy("g", "_i", "_j"))
+    met = left.toDF(*left.columns).groupBy("bucket").cogroup(right.toDF(*right.columns).groupBy("bucket"))
     return met.applyInPandas(linked, "g long, p long").distinct()
 
 
+def _near(sets, partners):
+    """The partners (p, set) with a similarity of `PERCENT` or more to one of the sets."""
+    if not partners:
+        return set()
+    size = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    found = set()
+    for p, own in partners:
+        if p in found:
+            continue
+        low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+        n = high - low
+        hit = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        common = np.bincount(owner[hit], minlength=len(sets))
+        if (100 * common >= PERCENT * (size + len(own) - common)).any():
+            found.add(p)
+    return found
+
+
 # --- groups -----------------------------------------------------------------------
 
 
 def near_duplicates(docs, id_col="doc_id", text="text"):
-    """Per row: id, n_shingles, component_id (the smallest id of its group) and kept (it has that id)."""
+    """Per row: id, n_shingles, component_id (the smallest id of its group) and kept (it has that id).
+
+    Two tables stay in the shared folder for the result to read, signatures and
+    groups; all others are deleted.
+    """
     rows = stored(signed(docs, id_col, text), "signed")
+    with stage_folder(docs.sparkSession, "near-duplicates") as keep:
+        every = stored(_groups(docs, rows, keep, id_col, text), "groups")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("_component", "id"))
+    return rows.join(every, "digest", "left").select(
+        F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
+    )
+
+
+def _groups(docs, rows, keep, id_col, text):
+    """(digest, _component): the smallest id of the group of every class."""
     grouped = rows.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(
-        F.min("id").alias("label"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")
+        F.min("id").alias("label"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("more").alias("more")
     )
-    classes = stored(grouped.select(F.monotonically_increasing_id().alias("cls"), "*"), "classes")
-    postings = stored(prefix_postings(classes), "prefixes")
+    classes = keep(grouped.select(F.monotonically_increasing_id().alias("cls"), "*"), "classes")
+    postings = keep(prefix_postings(classes, keep), "prefixes")
     wanted = classes.join(postings.select("cls").distinct(), "cls", "left_semi")
-    sets = stored(full_sets(docs, wanted, id_col, text), "shingle-sets")
+    sets = keep(full_sets(docs, wanted, id_col, text), "shingle-sets")
     alone = wanted.select("cls", F.col("cls").alias("comp"))
-    first = stored(checked(hub_pairs(postings), alone, sets).select(F.col("g").alias("u"), F.col("p").alias("v")), "hub-links")
-    one = stored(connected_components(first).select(F.col("node").alias("cls"), F.col("component").alias("comp")), "components")
+    first = keep(checked(keep(hub_pairs(postings), "hubs"), alone, sets).select(F.col("g").alias("u"), F.col("p").alias("v")), "hub-links")
+    one = keep(connected_components(first).select(F.col("node").alias("cls"), F.col("component").alias("comp")), "components")
     members = alone.select("cls").join(one, "cls", "left").select("cls", F.coalesce("comp", "cls").alias("comp"))
     size = members.groupBy("comp").agg(F.count("*").alias("n"))
-    found = stored(open_pairs(postings, classes, one), "open-pairs")
+    found = keep(open_pairs(postings, classes, one), "open-pairs")
     sized = found.join(size.withColumnRenamed("comp", "a").withColumnRenamed("n", "_na"), "a").join(
         size.withColumnRenamed("comp", "b").withColumnRenamed("n", "_nb"), "b"
     )
     larger = F.col("_na") >= F.col("_nb")  # the larger component is the side that stays, its partners come to it
     pairs = sized.select(F.when(larger, F.col("a")).otherwise(F.col("b")).alias("g"), F.when(larger, F.col("b")).otherwise(F.col("a")).alias("p"))
-    second = checked(pairs, members, sets).select(F.col("g").alias("u"), F.col("p").alias("v"))
-    between = stored(second, "open-links")
-    two = stored(connected_components(between).select(F.col("node").alias("comp"), F.col("component").alias("joined")), "joined-components")
+    between = keep(checked(keep(pairs, "pairs"), members, sets).select(F.col("g").alias("u"), F.col("p").alias("v")), "open-links")
+    two = keep(connected_components(between).select(F.col("node").alias("comp"), F.col("component").alias("joined")), "joined-components")
     final = members.join(two, "comp", "left").select("cls", F.coalesce("joined", "comp").alias("comp"))
     labelled = final.join(classes.select("cls", "label", "digest"), "cls")
     smallest = labelled.groupBy("comp").agg(F.min("label").alias("smallest"))
     named = labelled.join(smallest, "comp").select("digest", "smallest")
-    every = classes.select("digest", "label").join(named, "digest", "left").select("digest", F.coalesce("smallest", "label").alias("_component"))
-    component = F.when(F.col("id").isNotNull(), F.coalesce("_component", "id"))
-    return rows.join(every, "digest", "left").select(
-        F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
-    )
+    return classes.select("digest", "label").join(named, "digest", "left").select("digest", F.coalesce("smallest", "label").alias("_component"))
 
 
 def drop_near_duplicates(docs, id_col="doc_id", text="text"):
