@@ -133,7 +133,7 @@ def normalise(text, char_map=None, dummy_prefix=True, squeeze=False):
                 break
             at += size
     if at == len(data):
-        return b"", [at]
+        return b"", [0]
     if dummy_prefix:
         out += meta
         source += [at] * len(meta)
@@ -184,7 +184,7 @@ class PieceCodec:
             alone += r"|(?<=[^\W\d_])(?=[.,])"  # no piece has a full stop or comma after a letter
         self.alone = re.compile(alone)
         self.known, self.before = {}, {}
-        self.small = {}
+        self.small, self.small_before = {}, {}
         self.surface = []
         for i, (p, t) in enumerate(zip(model.pieces, model.types)):
             whole = {CONTROL: "", UNKNOWN: model.unknown_text}.get(t, p.replace(META, " "))
@@ -250,24 +250,41 @@ class PieceCodec:
     # Identity models: characters of the source text are those of the normalised one, but for the space.
 
     def _segment(self, source):
-        """(ids, source bytes per piece) of a source segment, both as little-endian 32-bit integers."""
+        """(ids, source bytes per piece) of a source segment, both as packed 32-bit integers."""
+        # Cutting out what never merges only makes parts repeat more often; plain words are not worth the search.
+        parts = [source] if source[1:].isalpha() else self.alone.split(source)
+        if len(self.small) > self.keep:
+            self.small, self.small_before = {}, self.small
+        small = self.small
         ids, sizes = [], []
-        for part in self.alone.split(source):
+        for part in parts:
             if not part:
                 continue
-            found = self.small.get(part)
+            found = small.get(part)
             if found is None:
-                own_ids, own = zip(*self._pieces(part.replace(" ", META)))
-                if not part.isascii():
-                    at = np.cumsum([0, *[len(c.encode()) for c in part]])
-                    own = np.diff(at[np.cumsum([0, *own])]).tolist()
-                if len(self.small) > self.keep:
-                    self.small = {}
-                found = self.small[part] = own_ids, own
+                found = small[part] = self.small_before.get(part) or self._part(part)
             ids += found[0]
             sizes += found[1]
         return array("i", ids).tobytes(), array("i", sizes).tobytes()
 
+    def _part(self, part):
+        """(ids, source bytes per piece) of a run of text without a cut."""
+        ids, sizes, known = [], [], self.ids
+        at, narrow = 0, part.isascii()
+        for piece in self.merge(part.replace(" ", META)):
+            n = len(piece)
+            covered = n if narrow else len(part[at : at + n].encode())
+            at += n
+            found = known.get(piece)
+            if found is None:  # one character that is no piece: its bytes, of which the last one covers it
+                raw = piece.encode()
+                ids += [self.byte_id[byte] for byte in raw]
+                sizes += [0] * (len(raw) - 1)
+            else:
+                ids.append(found)
+            sizes.append(covered)
+        return ids, sizes
+
     #: A cut before a space after something else than white space: pieces hold white space in front only.
     CUT = re.compile(f"(?<=[^ {META}]) ")
 
