@@ -6,9 +6,10 @@ in Spark; the path with most votes wins the host. Every page is then read again,
 and the text is taken from the winning path; a page without such a node falls
 back on its own best container, then on its body.
 
-A host with a third of all pages costs one partial sum per task and path; the
-winners, one row per host, are joined without a hint, so Spark broadcasts them
-only if their measured size allows and else splits the hot host's rows.
+A host with a third of all pages costs one partial sum per task and path. The
+winners, one row per host, are written first and joined without a hint: Spark then
+knows their size, broadcasts them only if it allows that, so that pages stay where
+they are, and else splits the hot host's rows.
 
 Defined results: null or empty html gives an empty text; a page without a
 readable host (null, empty or relative url) takes no part in votes and uses its
@@ -20,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lexitally.llm.html_pages import main_text, votes
+from lexitally.session import stored
 
 _HOST = r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)"
 
@@ -54,7 +56,7 @@ def winning_paths(summed):
 
 def extract(pages, id_col="page_id", url="url", html="html"):
     """Id, url and main text of every page."""
-    winners = winning_paths(host_paths(pages, url, html)).withColumnRenamed("host", "_won")
+    winners = stored(winning_paths(host_paths(pages, url, html)).withColumnRenamed("host", "_won"), "host-paths")
     rows = pages.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"), host(F.col(f"`{url}`")).alias("_host")
     )
