@@ -54,7 +54,7 @@ def cell_grid(classes):
     """Per vector length: lower edges and widths of the cells of every component."""
     parts = classes.select("dim", F.posexplode("v").alias("at", "x")).groupBy("dim", "at").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     grid = {}
-    for dim, group in parts.toPandas().sort_values("at").groupby("dim"):
+    for dim, group in parts.toArrow().to_pandas().sort_values("at").groupby("dim"):
         low = group["low"].to_numpy(np.float64)
         grid[int(dim)] = low, np.floor((group["high"].to_numpy(np.float64) - low) / CELLS) + 1
     return grid
