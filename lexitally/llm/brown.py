@@ -39,8 +39,8 @@ from lexitally.llm.resampling import kth_largest
 from lexitally.llm.text import word_bytes
 from lexitally.session import delete_path, scratch_path, stored
 
-KNOWN = 1 << 17
-CLUSTERED = 1 << 14
+KNOWN = 1 << 16
+CLUSTERED = 1 << 13
 SUFFIXES = 1 << 10
 CLASSES = 64
 PASSES = 3
@@ -82,8 +82,8 @@ class Dictionary:
     def __init__(self, counts, known=KNOWN, clustered=CLUSTERED, suffixes=SUFFIXES):
         self.suffixes = suffixes
         least = kth_largest(counts, "n", known) if counts.count() > known else 0
-        frequent = counts.where((F.col("n") > least) & (F.col("word") != END)).toPandas()  # at most `known` rows
-        frequent = sorted(zip(frequent["n"].tolist(), map(bytes, frequent["word"])), key=lambda x: (-x[0], x[1]))
+        frequent = counts.where((F.col("n") > least) & (F.col("word") != END)).toArrow()  # at most `known` rows
+        frequent = sorted(zip(frequent["n"].to_pylist(), frequent["word"].to_pylist()), key=lambda x: (-x[0], x[1]))
         self.index = {word: i for i, (_, word) in enumerate(frequent)}
         self.count = np.array([n for n, _ in frequent], np.int64)
         own = min(clustered, len(frequent))
@@ -149,9 +149,10 @@ def neighbour_classes(stream, classes, units, n_classes):
         columns = [pa.array(seen), pa.array(after[seen]), pa.array(before[seen])]
         yield pa.RecordBatch.from_arrays(columns, ["cell", "after", "before"])
 
-    cells = stream.mapInArrow(counted, "cell long, after long, before long").groupBy("cell").agg(F.sum("after").alias("a"), F.sum("before").alias("b")).toPandas()
+    cells = stream.mapInArrow(counted, "cell long, after long, before long").groupBy("cell").agg(F.sum("after").alias("a"), F.sum("before").alias("b")).toArrow()
     after, before = np.zeros(units * n_classes), np.zeros(units * n_classes)
-    after[cells["cell"]], before[cells["cell"]] = cells["a"], cells["b"]
+    at = cells["cell"].to_numpy()
+    after[at], before[at] = cells["a"].to_numpy(), cells["b"].to_numpy()
     return after.reshape(units, n_classes), before.reshape(units, n_classes)
 
 
