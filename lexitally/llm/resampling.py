@@ -33,7 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from lexitally.session import stored
+from lexitally.session import stage_folder
 
 BUCKETS = 1 << 18
 PRIOR = 5.0
@@ -76,9 +76,10 @@ def bucket_counts(rows, buckets=BUCKETS):
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(raw[seen]), pa.array(target[seen])], ["bucket", "n", "t"])
 
     parts = rows.select("_ngrams", "_target").mapInArrow(added, "bucket int, n long, t long")
-    summed = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toPandas()
+    summed = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()
     raw, target = np.zeros(buckets), np.zeros(buckets)
-    raw[summed["bucket"]], target[summed["bucket"]] = summed["n"], summed["t"]
+    at = summed["bucket"].to_numpy()
+    raw[at], target[at] = summed["n"].to_numpy(), summed["t"].to_numpy()
     return raw, target
 
 
@@ -134,7 +135,7 @@ def weighted(docs, labels, good, id_col="doc_id", text="text", labelled=20_000):
     raw, target = bucket_counts(marked.select("_ngrams", F.coalesce(F.col("good") & F.col("fit"), F.lit(False)).alias("_target")))
     weight = _weigher(spark, log_ratios(raw, target))
     scored = marked.select("row", "good", "fit", F.size("_ngrams").cast("long").alias("n_ngrams"), weight("_ngrams").alias("log_weight"))
-    known = scored.where(F.col("good").isNotNull() & ~F.col("fit")).select("good", "log_weight").toPandas()  # at most `labelled` rows
+    known = scored.where(F.col("good").isNotNull() & ~F.col("fit")).select("good", "log_weight").toArrow().to_pandas()  # at most `labelled` rows
     return scored.select("row", "n_ngrams", "log_weight"), _cut(known)
 
 
@@ -160,16 +161,16 @@ def kth_largest(rows, key, k):
 def resample(docs, labels, good, keep=(), id_col="doc_id", text="text", seed="resample", **options):
     """Every row with `n_ngrams`, `log_weight`, `draw` (weight plus noise, in 1e-9) and `kept`.
 
-    `keep`: the input's columns to carry; all by default. The scored rows are
-    written once to the shared folder.
+    `keep`: the input's columns to carry; all by default. Weights and draws alone are
+    written to the shared folder, to find the k-th; they are computed again, and come
+    out the same, when the result is read.
     """
     scored, cut = weighted(docs, labels, good, id_col, text, **options)
     uniform = (F.shiftrightunsigned(F.xxhash64(F.col(f"row.`{id_col}`"), F.lit(seed)), 11) + 0.5) / float(1 << 53)
     noise = -F.log(-F.log(uniform))
     columns = [F.col(f"row.`{c}`").alias(c) for c in keep or docs.columns]
-    out = stored(scored.select(
-        F.struct(*columns).alias("row"), "n_ngrams", "log_weight", F.floor((F.col("log_weight") + noise) * 1e9).alias("draw")
-    ), "resampled")
-    k = out.where(F.col("log_weight") >= F.lit(float(cut))).count()
-    limit = kth_largest(out, "draw", k)
+    out = scored.select(F.struct(*columns).alias("row"), "n_ngrams", "log_weight", F.floor((F.col("log_weight") + noise) * 1e9).alias("draw"))
+    with stage_folder(docs.sparkSession, "draws") as write:
+        draws = write(out.select("log_weight", "draw"), "draws")
+        limit = kth_largest(draws, "draw", draws.where(F.col("log_weight") >= F.lit(float(cut))).count())
     return out.withColumn("kept", F.col("draw") >= limit if limit is not None else F.lit(False))
