@@ -12,7 +12,7 @@ that `with_measures` adds replace input columns of the same name.
 
 from pyspark.sql import functions as F
 
-from lexitally.llm.text import NOT_SPACE, words
+from lexitally.llm.text import NOT_SPACE, only, words
 
 #: The symbols counted as such.
 SYMBOLS = "#*$%&|<>"
@@ -129,4 +129,4 @@ def quality_report(docs, text="text", rules=RULES):
 
 def keep_good(docs, text="text", rules=RULES):
     """The rows that break no rule, with their own columns only."""
-    return quality_report(docs, text, rules).where("kept").select("row.*")
+    return only(quality_report(docs, text, rules), F.col("kept")).select("row.*")

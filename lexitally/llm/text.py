@@ -17,6 +17,16 @@ def lower_ascii(text):
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def only(rows, condition):
+    """Rows that meet a condition on costly columns, computed once.
+
+    Spark moves a filter below the projection that computes its columns, and writes
+    their expressions out in it again for every use. It leaves a filter above a
+    column like the row number, which it must not compute twice.
+    """
+    return rows.withColumn("_place", F.monotonically_increasing_id()).where(condition & (F.col("_place") >= 0)).drop("_place")
+
+
 def word_bytes(text):
     """The same words of a Python string, lower-cased (A-Z only), as bytes."""
     return text.encode("utf-8", "surrogatepass").lower().split()
