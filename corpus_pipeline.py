@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexitally.llm import line_chunks, near_duplicates, quality_rules, resampling
 from lexitally.llm.packing_query import packed
 from lexitally.llm.resampling_query import good
+from lexitally.llm.text import only
 from lexitally.session import stored
 from lexitally.sources.io import read_table
 
@@ -21,7 +22,7 @@ def keep_well_formed(spark, docs, sf_dir):
 
 def keep_drawn(spark, docs, sf_dir):
     """Documents drawn by their importance weight towards the good labelled ones."""
-    return resampling.resample(docs, read_table(spark, sf_dir, "labels"), good()).where("kept").select("row.*")
+    return only(resampling.resample(docs, read_table(spark, sf_dir, "labels"), good()), F.col("kept")).select("row.*")
 
 
 def drop_repeated_lines(spark, docs, sf_dir):
