@@ -9,8 +9,9 @@ import numpy as np
 #: A text may be cut before a space that a non-space follows: the tokenizer's own word pattern starts a word there,
 #: whatever stands before it, so segments encode alone as they do in the text.
 _CUT = re.compile(r" (?=\S)")
-#: Within a segment a word also ends before a full stop or comma, and line feeds stand apart from what is around them.
-_INNER = re.compile(r"(?<=[^\W\d_])(?=[.,])|(?<=\S)(?=\n)|(?<=\n)(?=\S)")
+#: Within a segment a word also ends before a full stop or comma, and line feeds stand apart from what is before them.
+#: From what follows only a single line feed does: of several spaces the pattern leaves the last one to a word of its own.
+_INNER = re.compile(r"(?<=[^\W\d_])(?=[.,])|(?<=\S)(?=\n)|(?<=\S\n)(?=\S)")
 
 
 class SegmentEncoder:

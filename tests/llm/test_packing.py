@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -21,6 +22,15 @@ def test_segments_encode_as_whole_texts():
         assert np.frombuffer(ours.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_line_feeds_in_later_segments():
+    library, ours = Tokenizer.from_file(PATH), SegmentEncoder(PATH)
+    random.seed(7)
+    texts = ["One line.\n\nNext par.", "x y.\n\nZ", "x y\n\n\nZ", "x y\n\n\n\n z\n\n", "x y\n\t\nZ.\n\n\n.,\nq", "x y\r\n\r\nZ", "x y\x1c\n\nZ", "x y\u3000\nZ"]
+    texts += ["x " + "".join(random.choices("aZ.,1'\t\n\n\n \r\u3000\x1cé", k=random.randint(1, 30))) for _ in range(5000)]
+    for text in texts:
+        assert np.frombuffer(ours.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 @settings(deadline=None, max_examples=50)
 @given(st.lists(st.integers(1, 200), max_size=60))
 def test_bins_need_no_padding(lengths):
