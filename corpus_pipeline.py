@@ -26,8 +26,8 @@ def keep_drawn(spark, docs, sf_dir):
 
 
 def drop_repeated_lines(spark, docs, sf_dir):
-    """Documents without line chunks that an earlier document has; n_chars follows the text. No document goes."""
-    cleaned = line_chunks.drop_repeated_lines(docs)
+    """Documents without line chunks and passages that an earlier document has; n_chars follows the text. No document goes."""
+    cleaned = line_chunks.drop_repeated_lines(docs, passages=True)
     new = {"text": F.col("text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))}
     return cleaned.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 

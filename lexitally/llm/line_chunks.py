@@ -11,6 +11,12 @@ counted over all documents by a 128-bit hash. Of a chunk that occurs again, the
 occurrence with the smallest (id, place) stays; another one goes if its bytes are
 the same as the first one's.
 
+With `passages`, as the registered query and the pipeline ask for, no passage depends
+on where a boundary falls: besides the chunks, the shortest run of `PASSAGE_WORDS`
+words or more that starts at a line, and that ends at a line, is posted for every
+line. Any run of so many words is made of such runs, so all of it goes if an earlier
+document holds it, or the same document in an earlier place that it does not overlap.
+
 Hashes and places alone are shuffled to find what repeats; bytes move only for
 chunks that do. Counts are partial sums before the shuffle; the first occurrence is
 one row joined to all others, which Spark splits if there are very many; only a
@@ -23,6 +29,7 @@ document and change alike; null ids come first; an empty table gives no rows.
 
 import pyarrow as pa
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexitally.session import stage_folder, stored
@@ -52,14 +59,37 @@ def line_chunks(lines, window=WINDOW, divisor=DIVISOR, longest=LONGEST, passage=
     return found
 
 
+def passage_runs(words, passage=PASSAGE_WORDS):
+    """(start, lines) of the shortest runs of `passage` words or more from every line on, and up to every line."""
+    found = set()
+    end = total = 0
+    for start, n in enumerate(words):
+        while end < len(words) and total < passage:
+            total += words[end]
+            end += 1
+        if total < passage:
+            break
+        found.add((start, end - start))
+        total -= n
+    start = total = 0
+    for end, n in enumerate(words):
+        total += n
+        while total - words[start] >= passage:
+            total -= words[start]
+            start += 1
+        if total >= passage:
+            found.add((start, end + 1 - start))
+    return found
+
+
 def _row_key(id_col, text):
     """Names a document: a 128-bit hash of id and text."""
     part = lambda c: F.coalesce(c.cast("string"), F.lit("\u0000"))
     return F.unhex(F.md5(F.concat(part(F.col(f"`{id_col}`")), F.lit("\u0000\u0000"), part(F.col(f"`{text}`")))))
 
 
-def chunk_table(docs, id_col="doc_id", text="text", least=LEAST_WORDS, passage=PASSAGE_WORDS):
-    """(row, id, start, lines, key): the chunks that count, of every document."""
+def chunk_table(docs, id_col="doc_id", text="text", least=LEAST_WORDS, passage=PASSAGE_WORDS, passages=False):
+    """(row, id, start, lines, key): the chunks that count, of every document; with `passages` the runs of `passage_runs` too."""
     kind = dict(docs.dtypes)[id_col]
 
     def cut(batches):
@@ -69,12 +99,14 @@ def chunk_table(docs, id_col="doc_id", text="text", least=LEAST_WORDS, passage=P
                 owner, starts, sizes, keys = [], [], [], []
                 for i, whole in enumerate(part.column(2).to_pylist()):
                     lines = whole.encode().split(b"\n")
-                    for start, n, words in line_chunks(lines, passage=passage):
-                        if words >= passage or n > 1 and words >= least:
-                            owner.append(i)
-                            starts.append(start)
-                            sizes.append(n)
-                            keys.append(xxhash.xxh3_128_digest(b"\n".join(lines[start : start + n])))
+                    places = {(start, n) for start, n, words in line_chunks(lines, passage=passage) if words >= passage or n > 1 and words >= least}
+                    if passages:
+                        places |= passage_runs([len(x.split()) for x in lines], passage)
+                    for start, n in places:
+                        owner.append(i)
+                        starts.append(start)
+                        sizes.append(n)
+                        keys.append(xxhash.xxh3_128_digest(b"\n".join(lines[start : start + n])))
                 owner = pa.array(owner, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(owner), part.column(1).take(owner), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary())],
@@ -86,10 +118,15 @@ def chunk_table(docs, id_col="doc_id", text="text", least=LEAST_WORDS, passage=P
 
 
 def suspects(chunks):
-    """(row, start, lines, key, first): occurrences of chunks that occur again by their hash; first: the one that stays."""
+    """(row, start, lines, key, first): occurrences of chunks that occur again by their hash; first: the one that stays.
+
+    What overlaps the first occurrence in the same document is left out.
+    """
     place = F.struct("id", "row", "start")
     first = chunks.groupBy("key").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where("_first <> _last").select("key", "_first")
-    return chunks.join(first, "key").select("row", "start", "lines", "key", place.eqNullSafe(F.col("_first")).alias("first")).distinct()
+    is_first = place.eqNullSafe(F.col("_first"))
+    apart = (F.col("row") != F.col("_first.row")) | (F.col("start") >= F.col("_first.start") + F.col("lines"))
+    return chunks.join(first, "key").where(is_first | apart).select("row", "start", "lines", "key", is_first.alias("first")).distinct()
 
 
 def repeated_chunks(docs, found, keep, id_col, text):
@@ -103,15 +140,24 @@ def repeated_chunks(docs, found, keep, id_col, text):
     return chunks.where(~F.col("first")).join(kept, "key").where(F.col("chunk") == F.col("_first_chunk")).select("row", "start", "lines")
 
 
+def merged(gone):
+    """(row, start, lines): the same lines as runs that neither overlap nor touch."""
+    order = Window.partitionBy("row").orderBy("start")  # a document's own repeated chunks
+    end = F.col("start") + F.col("lines")
+    reached = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = gone.withColumn("_new", F.when(F.col("start") <= reached, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("row", "_run").agg(F.min("start").alias("start"), (F.max(end) - F.min("start")).alias("lines")).drop("_run")
+
+
 def drop_repeated_lines(docs, id_col="doc_id", text="text", keep=(), **rules):
     """Every row (its columns as a struct `row`) with `text` after removal, `n_lines` and `n_removed`.
 
-    `keep`: the input's columns to carry besides; all by default.
+    `keep`: the input's columns to carry besides; all by default. `rules` are those of `chunk_table`.
     """
     with stage_folder(docs.sparkSession, "line-chunks") as write:
         found = write(suspects(write(chunk_table(docs, id_col, text, **rules), "chunks")), "found")
         gone = stored(repeated_chunks(docs, found, write, id_col, text), "repeated-lines")
-    per_row = gone.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "lines"))).alias("_gone")).withColumnRenamed("row", "_key")
+    per_row = merged(gone).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "lines"))).alias("_gone")).withColumnRenamed("row", "_key")
     rest = [F.col(f"`{c}`") for c in keep or docs.columns if c != text]
     rows = docs.select(F.struct(*rest).alias("_rest"), F.col(f"`{text}`").alias("_text"), _row_key(id_col, text).alias("_row"))
     joined = rows.join(per_row, F.col("_row") == F.col("_key"), "left")

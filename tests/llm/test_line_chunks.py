@@ -1,6 +1,7 @@
 import random
 
 from lexitally.llm.line_chunks import LEAST_WORDS, PASSAGE_WORDS, drop_repeated_lines, line_chunks
+from lexitally.llm.line_chunks_query import op5
 
 
 def plain(rows):
@@ -58,3 +59,25 @@ def test_boundaries_resist_shifts():
 
 def test_empty_table(empty):
     assert drop_repeated_lines(empty).count() == 0
+
+
+def test_every_repeated_passage_goes_whole(spark, tmp_path):
+    random.seed(6)
+    line = lambda n: " ".join(str(random.randint(0, 10**9)) for _ in range(n))
+    passages = [[line(words) for _ in range(n)] for n, words in [(4, 15), (3, 20), (2, 30), (20, 15), (40, 2), (2, 25), (5, 11)] * 8]
+    own, rows = {}, []
+    for i, shared in enumerate(passages):
+        first, second = [line(9) for _ in range(4)], [line(9) for _ in range(4)]
+        rows += [(2 * i, "\n".join(first[:2] + shared + first[2:])), (2 * i + 1, "\n".join(second[:1] + shared + second[1:]))]
+        own[2 * i], own[2 * i + 1] = rows[-2][1], "\n".join(second)
+    loop = [line(3) for _ in range(20)]
+    rows += [(900, "\n".join(loop * 3 + ["end"])), (901, "\n".join(["a b"] * 100)), (902, "\n".join(["x", *passages[3][:9], "y", *passages[3][5:], "z"]))]
+    own |= {900: "\n".join([*loop, "end"]), 902: "x\ny\nz"}
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    before, found = dict(rows), {r.doc_id: r for r in op5(spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows)
+    for i, text in own.items():
+        assert found[i].text == text, i
+    for i, r in found.items():
+        assert r.n_lines == before[i].count("\n") + 1 and r.n_lines - r.n_removed == r.text.count("\n") + 1
+    assert 0 < found[901].text.count("a b") < 50  # one passage stays
