@@ -1,3 +1,6 @@
+import random
+import textwrap
+
 from lexitally.llm import licenses as L
 
 
@@ -43,3 +46,21 @@ def test_empty_table_and_plan(odd, empty, capsys):
     L.scan(odd).explain()
     plan = capsys.readouterr().out
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_wrapped_notices_and_notices_within_lines(spark):
+    random.seed(8)
+    prose = "".join(" ".join(f"w{random.randint(0, 10**6)}" for _ in range(30)) + "\n" for _ in range(5))
+    notices = [t for _, t in L.TEMPLATES]
+    texts = [prose + "\n".join(textwrap.wrap(t, width, initial_indent=mark, subsequent_indent=mark, break_long_words=False, break_on_hyphens=False)) + "\n" + prose for t in notices for width, mark in ((72, "# "), (30, " * "))]
+    texts += [prose.replace("\n", " ") + t + " " + prose.replace("\n", " ") for t in notices]
+    want = [n for n, _ in L.TEMPLATES for _ in range(2)] + [n for n, _ in L.TEMPLATES]
+    mit, gpl = notices[-3], next(t for n, t in L.TEMPLATES if n == "GPL-3.0" and "either" in t)
+    texts += ["\n".join([prose, *textwrap.wrap(mit, 60), prose, "Released under the MIT License.", prose, *textwrap.wrap(gpl, 60), prose]), prose * 3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r for r in L.scan(docs).select("row.doc_id", "n_matches", "license", "dice", "unit").collect()}
+    for i, name in enumerate(want):
+        assert (found[i].license, found[i].dice) == (name, 1.0) and found[i].n_matches >= 1, texts[i]
+    assert [found[i].unit for i in range(len(notices) * 2)] == [6] * (len(notices) * 2)
+    assert found[len(want)].n_matches == 3
+    assert found[len(want) + 1].n_matches == 0
