@@ -1,7 +1,7 @@
 """Main text of web pages by consensus per host.
 
 Every page scores its containers and votes for the generalised paths (tags and
-classes without digits) of the best. Votes are integers summed per host and path
+classes without digits) of all of them, by their share of the score. Votes are integers summed per host and path
 in Spark; the path with most votes wins the host. Every page is then read again,
 and the text is taken from the winning path; a page without such a node falls
 back on its own best container, then on its body.

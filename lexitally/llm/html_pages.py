@@ -6,6 +6,8 @@ Small helpers for `html_consensus`, which votes on the containers per host.
 import html
 import re
 
+import xxhash
+
 #: Fixed values of the HTML standard: element kinds that matter for blocks and nesting.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -42,6 +44,7 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"\d+")
+#: Labels that a path spells out; those further out are one hash.
 DEEPEST_PATH = 64
 
 
@@ -91,7 +94,7 @@ class Page:
         self.events, self.owners, self.nodes = [], [], []
         root = Node("#root", "", None, 0, False, False)
         self.nodes.append(root)
-        self.stack, self.open = [root], {}
+        self.stack, self.open, self.chains = [root], {}, {root: ""}
         at, tags = 0, _TAG
         while True:
             found = tags.search(source, at)
@@ -161,13 +164,26 @@ class Page:
             self._close({tag}, frozenset() if tag in BLOCK else BLOCK - {"p"})
 
     def path(self, node):
-        """Generalised path: tag.class of the node and what it is in, from the outside in."""
+        """Generalised path: tag.class of the node and what it is in, from the outside in; one hash for the outer part of a deep chain."""
         labels = []
         while node.parent is not None and len(labels) < DEEPEST_PATH:
             labels.append(node.label)
             node = node.parent
+        if node.parent is not None:
+            labels.append(self._chain(node))
         return ">".join(reversed(labels))
 
+    def _chain(self, node):
+        """Hash of the labels of the node and of all that it is in, kept for every node on the way."""
+        way = []
+        while node not in self.chains:
+            way.append(node)
+            node = node.parent
+        chain = self.chains[node]
+        for node in reversed(way):
+            chain = self.chains[node] = "#" + xxhash.xxh3_128_hexdigest(f"{chain}>{node.label}".encode("utf-8", "surrogatepass"))
+        return chain
+
     def scores(self):
         """Score of every container: long, comma-rich, link-poor blocks count for their parent, and half for its parent."""
         size, links, commas = {}, {}, {}
@@ -209,12 +225,12 @@ class Page:
         return " ".join("".join(parts).split())
 
 
-def votes(source, most=3):
-    """(path, share in thousandths) of the best containers of a page."""
+def votes(source):
+    """(path, share in millionths) of the containers of a page, the best first."""
     page = Page(source)
-    scored = sorted(page.scores().items(), key=lambda x: (-x[1], x[0].start))[:most]
+    scored = sorted(page.scores().items(), key=lambda x: (-x[1], x[0].start))
     total = sum(s for _, s in scored)
-    return [(page.path(n), round(1000 * s / total)) for n, s in scored] if total > 0 else []
+    return [(page.path(n), round(1_000_000 * s / total)) for n, s in scored] if total > 0 else []
 
 
 def main_text(source, path):

@@ -65,3 +65,23 @@ def test_odd_rows(spark):
     assert extract(pages.limit(0)).count() == 0
     hosts = spark.createDataFrame([("HTTPS://User@Www.A.example:80/x",), ("//b.example?q",), ("mailto:x",)], "u string").select(host(F.col("u"))).collect()
     assert [r[0] for r in hosts] == ["www.a.example", "b.example", None]
+
+
+def test_deep_containers_have_paths_of_their_own():
+    source = "<div>" * 70 + f"<p>Not the article: {LONG}</p>" + "<div>" * 5 + f"<p>{LONG}</p><p>{LONG}</p><p>{LONG}</p>" + "</div>" * 75
+    path = votes(source)[0][0]
+    assert main_text(source, path) == " ".join((LONG * 3).split())
+    assert len({p for p, _ in votes(source)}) == len(votes(source))
+    assert votes(source.replace("<div>", '<div class="a">', 1))[0][0] != path
+
+
+def test_all_containers_vote(spark):
+    """The article is the fourth container of every page, and the only one that the pages share."""
+    names = "abcdefgh"
+    rows = []
+    for i in range(8):
+        boxes = "".join(f'<div class="wrap-{names[i]}{b}"><div class="box-{names[i]}{b}">' + f"<p>{LONG}</p>" * 3 + "</div></div>" for b in "xyz")
+        rows.append((i, f"https://h.example/{i}", f'<html><body>{boxes}<div class="outer"><div class="content"><p>{LONG}</p><p>Article {i}</p></div></div></body></html>'))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in extract(pages).collect():
+        assert r.text == " ".join(LONG.split()) + f" Article {r.page_id}"
