@@ -1,5 +1,6 @@
 import random
 from itertools import combinations
+from math import comb
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,3 +109,12 @@ def test_signatures_agree_as_sets_do():
         x, y = family.signatures([a, b])
         agreed += (x == y).mean()
     assert abs(agreed - similar) / 60 < 0.02
+
+
+def test_candidate_tests_miss_less_than_one_in_a_million():
+    agree = lambda n, k: comb(n, k) * 0.75**k * 0.25 ** (n - k)
+    found = sum(
+        agree(N.COORDINATES, k) * agree(N.MORE, j)
+        for k in range(N.MATCHES, N.COORDINATES + 1) for j in range(max(0, N.ALL_MATCHES - k), N.MORE + 1)
+    )
+    assert 1 - found < 1e-6
