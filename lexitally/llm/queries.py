@@ -2,6 +2,7 @@
 
 from lexitally.llm import (  # noqa: F401  (they fill the registry)
     brown_query,
+    hard_negatives_query,
     html_consensus_query,
     licenses_query,
     line_chunks_query,
