@@ -9,6 +9,7 @@ from lexitally.llm import (  # noqa: F401  (they fill the registry)
     near_duplicates_query,
     packing_query,
     pieces_query,
+    prefix_trie_query,
     quality_rules_query,
     resampling_query,
     vafile_query,
