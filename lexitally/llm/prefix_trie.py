@@ -79,7 +79,7 @@ def _carried(ends, n):
     """
     out, conv, held = {}, None, [0] * n
     for row in sorted(ends, key=lambda r: r[0]):
-        part, first, last, sums = row[0], row[1], row[2], [int(x) for x in row[3:]]
+        part, first, last, sums = row[0], row[1], row[2], [int(x) % 2**64 for x in row[3:]]
         if conv == first:
             out[part] = conv, list(held)
         goes_on = first == last and conv == first
