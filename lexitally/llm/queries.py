@@ -12,6 +12,7 @@ from lexitally.llm import (  # noqa: F401  (they fill the registry)
     prefix_trie_query,
     quality_rules_query,
     resampling_query,
+    suffix_repeats_query,
     vafile_query,
 )
 from lexitally.llm.registry import ORACLE, QUERIES  # noqa: F401

@@ -16,11 +16,11 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 
 def test_every_operator_has_one_query():
     names = [n for n in entry_points.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_points.queries()
 
 
-@pytest.mark.parametrize("name", ["op1_vafile_top_k", "op2_license_scan", "op9_quality_rules"])
+@pytest.mark.parametrize("name", ["op1_vafile_top_k", "op2_license_scan", "op9_quality_rules", "op12_prefix_trie", "op13_hard_negatives"])
 def test_query_matches_sql(spark, name):
     tables = duckdb.connect()
     for file in os.listdir(FOLDER):
