@@ -8,33 +8,29 @@ from pyspark.sql import functions as F
 from lexitally import constants as K
 from lexitally.functions.numbers import settled
 from lexitally.functions.text import bigrams, slug
-from lexitally.operators.terms import ID, TERM, TOPIC, min_max_within, term_counts, topic_term_stats, topic_vs_rest_tfidf
+from lexitally.operators.terms import ID, TERM, TOPIC, min_max_within, term_counts, topic_term_stats, topic_terms, topic_vs_rest_tfidf
 from lexitally.session import stored
 
 
-def positional_scores(docs, token_array="tokens", topic=TOPIC):
-    """Mean of 1/(position+1) over every occurrence of a term in a topic."""
-    placed = docs.select(topic, F.posexplode(token_array).alias("_pos", TERM))
-    return placed.groupBy(topic, TERM).agg(F.avg(1 / (F.col("_pos") + 1)).alias("positional_score"))
+def positional_scores(docs, token_array="tokens", topic=TOPIC, terms=None):
+    """Mean of 1/(position+1) over every occurrence of a term in a topic; `terms` is a table of `topic_terms`."""
+    terms = topic_terms(docs, token_array, topic) if terms is None else terms
+    return terms.select(topic, TERM, (F.col("early") / F.col("tf")).alias("positional_score"))
 
 
-def sentiment_association(docs, label="final_sentiment", token_array="tokens", topic=TOPIC, labels=K.LABELS):
-    """Largest gap between a term's label mix and its topic's, by documents.
-
-    Terms are made distinct inside each document's array, so no shuffle is
-    needed before the grouped count.
-    """
-    present = docs.select(topic, label, F.explode(F.array_distinct(token_array)).alias(TERM))
-    per_term = present.groupBy(topic, TERM).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(label) == x).alias(f"_n_{x}") for x in labels]
-    )
+def label_gap(docs, terms, label="final_sentiment", topic=TOPIC, labels=K.LABELS):
+    """`terms` with the largest gap between a term's label mix and its topic's, by documents."""
     per_topic = docs.groupBy(topic).agg(
         *[(F.count_if(F.col(label) == x) / F.count(label)).alias(f"_p_{x}") for x in labels]
     )
-    gaps = [F.abs(F.col(f"_n_{x}") / F.col("_n") - F.col(f"_p_{x}")) for x in labels]
-    return per_term.join(per_topic, topic).select(
-        topic, TERM, F.greatest(*gaps).alias("sentiment_association_score")
-    )
+    gaps = [F.abs(F.col(f"n_{x}") / F.col("df") - F.col(f"_p_{x}")) for x in labels]
+    return terms.join(per_topic, topic).withColumn("sentiment_association_score", F.greatest(*gaps))
+
+
+def sentiment_association(docs, label="final_sentiment", token_array="tokens", topic=TOPIC, labels=K.LABELS):
+    """Largest gap between a term's label mix and its topic's, by documents."""
+    terms = topic_terms(docs, token_array, topic, label, labels)
+    return label_gap(docs, terms, label, topic, labels).select(topic, TERM, "sentiment_association_score")
 
 
 def bigram_scores(bigram_tfidf, topic=TOPIC):
@@ -58,27 +54,29 @@ def bigram_boost(scored_bigrams, topic=TOPIC):
     return parts.groupBy(topic, TERM).agg(F.max("custom_bigram_score").alias("bigram_boost_score"))
 
 
-def term_scores(docs, term_stats, tfidf_stats, scored_bigrams, label="final_sentiment", token_array="tokens", topic=TOPIC, min_count=K.MIN_TERM_COUNT):
-    """Weighted term score from six components, each scaled within its topic."""
+def term_scores(docs, terms, tfidf_stats, scored_bigrams, label="final_sentiment", topic=TOPIC, min_count=K.MIN_TERM_COUNT, store=stored):
+    """Weighted term score from six components, each scaled within its topic.
+
+    `terms` is a table of `topic_terms` with labels: frequency, lift, position and
+    label mix are columns of it, so only TF-IDF and the bigrams are joined.
+    """
     key = [topic, TERM]
-    base = term_stats.where(F.col("topic_term_count") >= min_count).select(
-        *key,
-        "topic_term_count",
-        F.col("topic_term_freq").alias("freq_score"),
-        F.col("topic_specific_ratio").alias("topic_specific_score"),
+    stats = topic_term_stats(docs, topic=topic, terms=terms).select(
+        *key, F.col("topic_term_freq").alias("freq_score"), F.col("topic_specific_ratio").alias("topic_specific_score")
+    )
+    frequent = label_gap(docs, terms.where(F.col("tf") >= min_count), label, topic)
+    # Sums of fractions differ in the last bits between runs; settle them before scaling.
+    base = frequent.select(
+        *key, F.col("tf").alias("topic_term_count"), F.round(F.coalesce("sentiment_association_score", F.lit(0.0)), 12).alias("sentiment_association_score"),
+        F.round(F.col("early") / F.col("tf"), 12).alias("positional_score"),
     )
     joined = (
-        base.join(tfidf_stats.select(*key, F.col("mean_tfidf_in_topic").alias("tfidf_score")), key, "left")
-        .join(sentiment_association(docs, label, token_array, topic), key, "left")
-        .join(positional_scores(docs, token_array, topic), key, "left")
+        base.join(stats, key)
+        .join(tfidf_stats.select(*key, F.col("mean_tfidf_in_topic").alias("tfidf_score")), key, "left")
         .join(bigram_boost(scored_bigrams, topic), key, "left")
-        .na.fill(0.0, ["tfidf_score", "sentiment_association_score", "positional_score", "bigram_boost_score"])
+        .na.fill(0.0, ["tfidf_score", "bigram_boost_score"])
     )
-    # Sums of fractions differ in the last bits between runs; settle them before scaling.
-    steady = joined.withColumns(
-        {c: F.round(c, 12) for c in ("sentiment_association_score", "positional_score")}
-    )
-    scaled = min_max_within(steady, list(K.TERM_WEIGHTS), topic)
+    scaled = min_max_within(joined, list(K.TERM_WEIGHTS), topic, store=store)
     score = reduce(add, [w * F.col(f"{c}_norm") for c, w in K.TERM_WEIGHTS.items()])
     return scaled.withColumn("custom_term_score", settled(score, 6))
 
@@ -90,15 +88,9 @@ def fit_scores(docs, label="final_sentiment", token_array="tokens", topic=TOPIC,
     each is written once (a table in the shared folder) and read back.
     """
     scored_bigrams = store(bigram_scores(topic_vs_rest_tfidf(docs, (2, 2), token_array, topic, id_col), topic), "bigram-scores")
-    scored_terms = term_scores(
-        docs,
-        topic_term_stats(docs, token_array, topic),
-        topic_vs_rest_tfidf(docs, (1, 1), token_array, topic, id_col),
-        scored_bigrams,
-        label,
-        token_array,
-        topic,
-    )
+    terms = topic_terms(docs, token_array, topic, label, store=store)
+    tfidf_stats = topic_vs_rest_tfidf(docs, (1, 1), token_array, topic, id_col)
+    scored_terms = term_scores(docs, terms, tfidf_stats, scored_bigrams, label, topic, store=store)
     return store(scored_terms, "term-scores"), scored_bigrams
 
 

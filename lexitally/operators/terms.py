@@ -17,6 +17,7 @@ from lexitally import constants as K
 from lexitally.functions.guards import row_count
 from lexitally.functions.numbers import settled
 from lexitally.functions.text import content_tokens, long_tokens, ngrams, not_blank
+from lexitally.session import stored
 
 ID, TOPIC, TERM = "post_id", "topic", "term"
 
@@ -55,6 +56,18 @@ def ngram_counts(docs, ngram_range=(1, 1), token_array="tokens", keys=(ID, TOPIC
 # --- frequencies ---------------------------------------------------------------
 
 
+def grouped_terms(docs, token_array="tokens", keys=(TOPIC,), **amounts):
+    """Per (keys, term): occurrences `tf`, documents `df` and the given sums, from one scan and one shuffle.
+
+    A document's tokens are followed by its distinct ones in one array, so a row is
+    either an occurrence (`_pos` is its place) or, at `_pos >= _n`, a document.
+    `amounts` are aggregates over these rows.
+    """
+    rows = docs.select("*", F.size(token_array).alias("_n"), F.posexplode(F.concat(token_array, F.array_distinct(token_array))).alias("_pos", TERM))
+    here = F.col("_pos") < F.col("_n")
+    return rows.groupBy(*keys, TERM).agg(F.count_if(here).alias("tf"), F.count_if(~here).alias("df"), *[a.alias(name) for name, a in amounts.items()])
+
+
 def corpus_frequency(docs, token_array="tokens"):
     """Count and relative frequency of every token."""
     counts = docs.select(F.explode(token_array).alias(TERM)).groupBy(TERM).agg(
@@ -64,34 +77,54 @@ def corpus_frequency(docs, token_array="tokens"):
     return counts.withColumn("corpus_term_freq", F.round(F.col("corpus_term_count") / total, 6))
 
 
-def topic_sizes(docs, token_array="tokens", topic=TOPIC):
-    """(topic, topic_doc_count, _tokens): one row per topic."""
-    return docs.groupBy(topic).agg(F.count(F.lit(1)).alias("topic_doc_count"), F.sum(F.size(token_array)).alias("_tokens"))
-
-
 def every_topic(docs, topic=TOPIC):
     """All topics with their documents as one sorted array, for results that have a row per topic and term."""
     sizes = docs.groupBy(topic).agg(F.count(F.lit(1)).alias("n"))
     return sizes.agg(F.array_sort(F.collect_list(F.struct(F.col(topic).alias("t"), "n")))).scalar()
 
 
-def by_topic_map(rows, topic, key, **amounts):
-    """Per key a map from topic to sums: partial sums by (key, topic) first, so a map has one entry per topic."""
-    sums = rows.groupBy(key, topic).agg(*[F.sum(c).alias(name) for name, c in amounts.items()])
-    return sums.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(topic), F.struct(*amounts)))).alias("_by"),
-        *[F.sum(name).alias(f"_all_{name}") for name in amounts],
-        *[F.count_if(F.col(name) > 0).alias(f"_topics_{name}") for name in amounts],
+def for_every_topic(sums, topics, key, topic=TOPIC, shared=()):
+    """Rows (topic, key, sums) with rows of zeros for the topics a key lacks, and `topic_doc_count`; `shared` columns are a key's own.
+
+    In the order of topics every row brings the topics between it and the row before;
+    the last one brings those after it as well. Nothing is joined or grouped.
+    """
+    amounts = [c for c in sums.columns if c not in (topic, key)]
+    inside = Window.partitionBy(key).orderBy(topic)
+    placed = sums.withColumn("_every", topics).withColumn("_at", F.array_position(F.transform("_every", lambda x: x["t"]), F.col(topic)))
+    first = F.coalesce(F.lag("_at").over(inside), F.lit(0)) + 1
+    last = F.when(F.lead("_at").over(inside).isNull(), F.size("_every")).otherwise(F.col("_at"))
+    rows = placed.withColumns({"_first": first, "_last": last}).select(
+        "*", F.explode(F.slice("_every", F.col("_first").cast("int"), (F.col("_last") - F.col("_first") + 1).cast("int"))).alias("_x")
+    )
+    own = F.col("_x.t") == F.col(topic)
+    return rows.select(
+        F.col("_x.t").alias(topic), key, F.col("_x.n").alias("topic_doc_count"),
+        *shared, *[F.when(own, F.col(c)).otherwise(F.lit(0).cast(dict(sums.dtypes)[c])).alias(c) for c in amounts if c not in shared],
     )
 
 
-def topic_term_stats(docs, token_array="tokens", topic=TOPIC):
-    """Counts, frequencies and lift of every token in every topic it occurs in."""
-    counts = docs.select(topic, F.explode(token_array).alias(TERM)).groupBy(topic, TERM).agg(F.count(F.lit(1)).alias("topic_term_count"))
-    corpus = counts.groupBy(TERM).agg(F.sum("topic_term_count").alias("corpus_term_count"))
-    total = docs.agg(F.sum(F.size(token_array))).scalar()
+def topic_terms(docs, token_array="tokens", topic=TOPIC, label=None, labels=K.LABELS, store=stored):
+    """Everything that is counted per topic and term, as one stored table.
+
+    (topic, term, tf, df, early, n_<label>): occurrences, documents, the sum of
+    1/(position+1) and, with `label`, documents per label. One scan of the tokens.
+    """
+    here, early = F.col("_pos") < F.col("_n"), 1 / (F.col("_pos") + 1)
+    by_label = {f"n_{x}": F.count_if((F.col("_pos") >= F.col("_n")) & (F.col(label) == x)) for x in labels} if label else {}
+    columns = docs.select(topic, token_array, *([label] if label else []))
+    return store(grouped_terms(columns, token_array, (topic,), early=F.sum(F.when(here, early)), **by_label), "topic-terms")
+
+
+def topic_term_stats(docs, token_array="tokens", topic=TOPIC, terms=None, store=stored):
+    """Counts, frequencies and lift of every token in every topic it occurs in; `terms` is a table of `topic_terms`."""
+    terms = topic_terms(docs, token_array, topic, store=store) if terms is None else terms
+    sums = terms.groupBy(topic).agg(F.sum("tf").alias("_tokens"))
+    sizes = docs.groupBy(topic).agg(F.count(F.lit(1)).alias("topic_doc_count"))
+    total = terms.agg(F.sum("tf")).scalar()
+    counts = terms.select(topic, TERM, F.col("tf").alias("topic_term_count"), F.sum("tf").over(Window.partitionBy(TERM)).alias("corpus_term_count"))
     share, overall = F.col("topic_term_count") / F.col("_tokens"), F.col("corpus_term_count") / total
-    return counts.join(corpus, TERM).join(topic_sizes(docs, token_array, topic), topic).select(
+    return counts.join(sizes.join(sums, topic), topic).select(
         topic, TERM, "topic_term_count", "corpus_term_count", "topic_doc_count",
         F.round(share, 6).alias("topic_term_freq"), F.round(overall, 6).alias("corpus_term_freq"),
         F.round(share / overall, 4).alias("topic_specific_ratio"),
@@ -120,12 +153,13 @@ def rerank(df, score, by=(), tie=TERM, rank="rank"):
     return df.drop(rank).withColumn(rank, F.row_number().over(order))
 
 
-def min_max_within(df, columns, by=TOPIC, digits=6):
+def min_max_within(df, columns, by=TOPIC, digits=6, store=stored):
     """Scale columns to [0, 1] within a group as `<column>_norm`; a constant group gives 0.
 
     Extremes come from an aggregate joined back, not from a window, so a large
-    group never has to fit one task.
+    group never has to fit one task. The input is stored first, as it is read twice.
     """
+    df = store(df, "unscaled")
     extremes = df.groupBy(by).agg(
         *[F.min(c).alias(f"_lo_{c}") for c in columns], *[F.max(c).alias(f"_hi_{c}") for c in columns]
     )
@@ -143,8 +177,8 @@ def min_max_within(df, columns, by=TOPIC, digits=6):
 def vocabulary(pairs, docs, min_df=K.MIN_DF, max_df=K.MAX_DF, by=()):
     """Terms with min_df <= df <= max_df * documents, with df and the document count n.
 
-    `by` fits one vocabulary per group. The group's document counts are a small
-    checked table; without groups the count is a scalar.
+    `by` fits one vocabulary per group, whose document counts are joined; without
+    groups the count is a scalar.
     """
     df_ = pairs.groupBy(*by, TERM).agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df)
     if by:
@@ -175,29 +209,38 @@ def l2_normalise(features, id_col=ID):
     return features.withColumn("value", F.when(length > 0, F.col("value") / length).otherwise(F.lit(0.0)))
 
 
+def corpus_vocabulary(docs, ngram_range=(1, 1), token_array="tokens", min_df=K.MIN_DF, max_df=K.MAX_DF):
+    """(term, df, n) of a whole corpus: documents are counted by their distinct terms, without counting terms inside them."""
+    present = docs.select(F.explode(F.array_distinct(ngrams(long_tokens(token_array), ngram_range))).alias(TERM))
+    df_ = present.groupBy(TERM).agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df).withColumn("n", row_count(docs))
+    return df_ if max_df is None else df_.where(F.col("df") <= F.col("n") * max_df)
+
+
 def topic_vs_rest_tfidf(docs, ngram_range=(1, 1), token_array="tokens", topic=TOPIC, id_col=ID, min_df=K.MIN_DF, max_df=K.MAX_DF):
     """Mean TF-IDF of every vocabulary term in a topic and in all others, and their ratio.
 
     Means run over all documents, those without the term included, and every
     term has a row for every topic. A term found in one topic only has ratio
-    infinity there.
+    infinity there. Occurrences meet the vocabulary before they are counted, so terms
+    outside it are never shuffled.
     """
     topics = every_topic(docs, topic)
+    vocab = corpus_vocabulary(docs, ngram_range, token_array, min_df, max_df)
+    idf = F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1
+    met = docs.select(id_col, topic, F.explode(ngrams(long_tokens(token_array), ngram_range)).alias(TERM)).join(vocab.select(TERM, idf.alias("idf")), TERM)
+    # Rows of one document lie together from here on: counts and lengths share one shuffle.
+    counted = met.repartition(id_col).groupBy(id_col, topic, TERM).agg((F.count(F.lit(1)) * F.first("idf")).alias("value"))
+    length = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy(id_col)))
+    sums = counted.select(topic, TERM, (F.col("value") / length).alias("value")).groupBy(topic, TERM).agg(F.sum("value").alias("w"))
+    of_term = Window.partitionBy(TERM)
+    whole = sums.withColumns({"_all": F.sum("w").over(of_term), "_topics": F.count_if(F.col("w") > 0).over(of_term)})
+    # A row of zeros needs its term's totals: they are the same in every row, so zeros take them from the row that brings them.
+    rows = for_every_topic(whole.withColumn("_term", F.struct("_all", "_topics")).drop("_all", "_topics"), topics, TERM, topic, shared=("_term",))
     n = row_count(docs)
-    pairs = ngram_counts(docs, ngram_range, token_array, (id_col, topic))
-    weights = tfidf(pairs, vocabulary(pairs, docs, min_df, max_df), id_col=id_col)
-    whole = by_topic_map(weights, topic, TERM, w="value")
-
-    def row(x):
-        w = F.coalesce(F.try_element_at("_by", x["t"])["w"], F.lit(0.0))
-        nowhere_else = F.col("_topics_w") == (w > 0).cast("int")
-        rest = F.when(nowhere_else, F.lit(0.0)).otherwise((F.col("_all_w") - w) / F.greatest(F.col("_n") - x["n"], F.lit(1)))
-        return F.struct(
-            x["t"].alias(topic), (w / x["n"]).alias("_here"), rest.alias("_rest"),
-            x["n"].alias("topic_doc_count"), (F.col("_n") - x["n"]).alias("other_doc_count"),
-        )
-
-    rows = whole.withColumns({"_n": n, "_every": topics}).select(TERM, F.inline(F.transform("_every", row)))
+    others = n - F.col("topic_doc_count")
+    here, total, held = F.col("w"), F.col("_term._all"), F.col("_term._topics")
+    rest = F.when(held == (here > 0).cast("int"), F.lit(0.0)).otherwise((total - here) / F.greatest(others, F.lit(1)))
+    rows = rows.select(topic, TERM, (here / F.col("topic_doc_count")).alias("_here"), rest.alias("_rest"), "topic_doc_count", others.alias("other_doc_count"))
     here, rest = F.col("_here"), F.col("_rest")
     ratio = (
         F.when(rest > 0, F.round(here / F.when(rest > 0, rest), 4))
@@ -229,28 +272,22 @@ def local_tfidf(docs, ngram_range=(1, 1), token_array="tokens", topic=TOPIC, id_
 # --- bigrams -------------------------------------------------------------------
 
 
-def bigram_frequency(docs, token_array="tokens", topic=TOPIC, id_col=ID, min_df=K.MIN_DF, max_df=K.MAX_DF):
+def long_ngrams(docs, ngram_range=(2, 2), token_array="tokens", keys=(TOPIC,)):
+    """Documents as (keys, _ngrams): vectoriser n-grams of tokens of two or more characters."""
+    return docs.select(*keys, ngrams(long_tokens(token_array), ngram_range).alias("_ngrams"))
+
+
+def bigram_frequency(docs, token_array="tokens", topic=TOPIC, min_df=K.MIN_DF, max_df=K.MAX_DF, store=stored):
     """Counts, shares and document ratios of every retained bigram in every topic, zeros included."""
-    topics = every_topic(docs, topic)
-    pairs = ngram_counts(docs, (2, 2), token_array, (id_col, topic)).withColumn("_one", F.lit(1).cast("long"))
-    # Counts and document frequencies come out of the same aggregate as the pruning.
-    counts = by_topic_map(pairs, topic, TERM, c="tf", d="_one").withColumnRenamed(TERM, "bigram")
-    kept = counts.where((F.col("_all_d") >= min_df) & (F.col("_all_d") <= row_count(docs) * max_df))
-    totals = kept.select(F.explode("_by").alias("t", "x")).groupBy("t").agg(F.sum("x.c").alias("total"))
-    held = totals.agg(F.map_from_entries(F.collect_list(F.struct("t", "total")))).scalar()  # one entry per topic
-
-    def row(x):
-        found = F.try_element_at("_by", x["t"])
-        c, d = F.coalesce(found["c"], F.lit(0)), F.coalesce(found["d"], F.lit(0))
-        total = F.coalesce(F.try_element_at("_totals", x["t"]), F.lit(0))
-        return F.struct(
-            x["t"].alias(topic), c.alias("bigram_count"),
-            F.round(F.when(total > 0, c / F.greatest(total, F.lit(1))).otherwise(F.lit(0.0)), 6).alias("bigram_freq"),
-            d.alias("bigram_doc_freq"), F.round(d / x["n"], 6).alias("bigram_doc_ratio"), x["n"].alias("topic_doc_count"),
-        )
-
-    return kept.withColumns({"_totals": held, "_every": topics}).select("bigram", F.inline(F.transform("_every", row))).select(
-        topic, "bigram", "bigram_count", "bigram_freq", "bigram_doc_freq", "bigram_doc_ratio", "topic_doc_count"
+    counts = grouped_terms(long_ngrams(docs, (2, 2), token_array, (topic,)), "_ngrams", (topic,)).withColumnRenamed(TERM, "bigram")
+    held = counts.withColumn("_held", F.sum("df").over(Window.partitionBy("bigram")))
+    kept = store(held.where((F.col("_held") >= min_df) & (F.col("_held") <= row_count(docs) * max_df)).drop("_held"), "bigram-counts")
+    totals = kept.groupBy(topic).agg(F.sum("tf").alias("_total"))
+    rows = for_every_topic(kept, every_topic(docs, topic), "bigram", topic).join(totals, topic, "left")
+    share = F.when(F.col("_total") > 0, F.col("tf") / F.greatest("_total", F.lit(1))).otherwise(F.lit(0.0))
+    return rows.select(
+        topic, "bigram", F.col("tf").alias("bigram_count"), F.round(share, 6).alias("bigram_freq"), F.col("df").alias("bigram_doc_freq"),
+        F.round(F.col("df") / F.col("topic_doc_count"), 6).alias("bigram_doc_ratio"), "topic_doc_count",
     )
 
 
@@ -271,19 +308,17 @@ def bigram_coverage(docs, token_array="tokens", topic=TOPIC, id_col=ID, min_df=K
     )
 
 
-def frequent_bigrams(docs, token_array="tokens", id_col=ID, min_df=K.MIN_DF, n=K.TOP_BIGRAMS):
+def frequent_bigrams(docs, token_array="tokens", min_df=K.MIN_DF, n=K.TOP_BIGRAMS):
     """Most frequent bigrams overall, found in at least min_df documents."""
-    pairs = ngram_counts(docs, (2, 2), token_array, (id_col,))
-    counts = pairs.groupBy(TERM).agg(F.sum("tf").alias("frequency"), F.count(F.lit(1)).alias("df"))
-    kept = counts.where(F.col("df") >= min_df).select(F.col(TERM).alias("bigram"), "frequency")
+    counts = grouped_terms(long_ngrams(docs, (2, 2), token_array, ()), "_ngrams", ())
+    kept = counts.where(F.col("df") >= min_df).select(F.col(TERM).alias("bigram"), F.col("tf").alias("frequency"))
     return top_n_overall(kept, n, "frequency", "bigram")
 
 
-def frequent_bigrams_by_class(docs, label, token_array="tokens", id_col=ID, min_df=K.MIN_DF, n=K.TOP_BIGRAMS_PER_CLASS):
+def frequent_bigrams_by_class(docs, label, token_array="tokens", min_df=K.MIN_DF, n=K.TOP_BIGRAMS_PER_CLASS):
     """Most frequent bigrams per class, each class with its own vocabulary."""
-    pairs = ngram_counts(docs, (2, 2), token_array, (id_col, label))
-    counts = pairs.groupBy(label, TERM).agg(F.sum("tf").alias("frequency"), F.count(F.lit(1)).alias("df"))
-    kept = counts.where(F.col("df") >= min_df).select(label, F.col(TERM).alias("bigram"), "frequency")
+    counts = grouped_terms(long_ngrams(docs, (2, 2), token_array, (label,)), "_ngrams", (label,))
+    kept = counts.where(F.col("df") >= min_df).select(label, F.col(TERM).alias("bigram"), F.col("tf").alias("frequency"))
     return top_n(kept, n, "frequency", (label,), "bigram")
 
 
