@@ -11,7 +11,7 @@ from lexitally import constants as K
 from lexitally.functions.labels import label_targets
 from lexitally.functions.text import clean_text, word_count
 from lexitally.operators.terms import prepare, with_tokens
-from lexitally.session import stored
+from lexitally.session import spread, stored
 from lexitally.sources.io import read_table
 
 STATUS = ["F", "O", "P"]
@@ -30,7 +30,7 @@ def _stage(spark, sf, name, build):
 
 
 def posts(spark, sf):
-    docs = read_table(spark, sf, "documents")
+    docs = spread(read_table(spark, sf, "documents"))
     return docs.select(F.col("doc_id").alias("post_id"), F.col("lang").alias("topic"), "text", "source")
 
 

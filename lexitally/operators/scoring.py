@@ -84,9 +84,11 @@ def term_scores(docs, terms, tfidf_stats, scored_bigrams, label="final_sentiment
 def fit_scores(docs, label="final_sentiment", token_array="tokens", topic=TOPIC, id_col=ID, store=stored):
     """Term and bigram score tables fitted on the given documents.
 
-    The bigram table feeds the term table and both feed the document scores, so
+    The documents are stored first: their tokens are read for each of the three
+    statistics, but what made them runs once. The bigram table feeds the term table and both feed the document scores, so
     each is written once (a table in the shared folder) and read back.
     """
+    docs = store(docs.select(id_col, topic, label, token_array), "scored-documents")
     scored_bigrams = store(bigram_scores(topic_vs_rest_tfidf(docs, (2, 2), token_array, topic, id_col), topic), "bigram-scores")
     terms = topic_terms(docs, token_array, topic, label, store=store)
     tfidf_stats = topic_vs_rest_tfidf(docs, (1, 1), token_array, topic, id_col)

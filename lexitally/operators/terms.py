@@ -232,7 +232,7 @@ def topic_vs_rest_tfidf(docs, ngram_range=(1, 1), token_array="tokens", topic=TO
     counted = met.repartition(id_col).groupBy(id_col, topic, TERM).agg((F.count(F.lit(1)) * F.first("idf")).alias("value"))
     length = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy(id_col)))
     sums = counted.select(topic, TERM, (F.col("value") / length).alias("value")).groupBy(topic, TERM).agg(F.sum("value").alias("w"))
-    of_term = Window.partitionBy(TERM)
+    of_term = Window.partitionBy(TERM).orderBy(topic).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # one sort with for_every_topic
     whole = sums.withColumns({"_all": F.sum("w").over(of_term), "_topics": F.count_if(F.col("w") > 0).over(of_term)})
     # A row of zeros needs its term's totals: they are the same in every row, so zeros take them from the row that brings them.
     rows = for_every_topic(whole.withColumn("_term", F.struct("_all", "_topics")).drop("_all", "_topics"), topics, TERM, topic, shared=("_term",))
@@ -280,7 +280,7 @@ def long_ngrams(docs, ngram_range=(2, 2), token_array="tokens", keys=(TOPIC,)):
 def bigram_frequency(docs, token_array="tokens", topic=TOPIC, min_df=K.MIN_DF, max_df=K.MAX_DF, store=stored):
     """Counts, shares and document ratios of every retained bigram in every topic, zeros included."""
     counts = grouped_terms(long_ngrams(docs, (2, 2), token_array, (topic,)), "_ngrams", (topic,)).withColumnRenamed(TERM, "bigram")
-    held = counts.withColumn("_held", F.sum("df").over(Window.partitionBy("bigram")))
+    held = counts.withColumn("_held", F.sum("df").over(Window.partitionBy("bigram")))  # a row a topic
     kept = store(held.where((F.col("_held") >= min_df) & (F.col("_held") <= row_count(docs) * max_df)).drop("_held"), "bigram-counts")
     totals = kept.groupBy(topic).agg(F.sum("tf").alias("_total"))
     rows = for_every_topic(kept, every_topic(docs, topic), "bigram", topic).join(totals, topic, "left")

@@ -57,6 +57,20 @@ def stored(df, name):
     return df.sparkSession.read.parquet(path)
 
 
+def spread(df):
+    """Deal the rows of a small table over all cores.
+
+    A file with one row group is read by one task, however many cores there are. Only
+    tables that could not give every core a split are shuffled: fewer files than
+    cores, and less than a split for each. Larger ones stay as they are.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * split and len(df.inputFiles()) < cores else df
+
+
 def delete_path(spark, path):
     """Delete a stage table that no later job reads."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
