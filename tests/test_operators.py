@@ -295,3 +295,23 @@ def test_lda_mix_sums_to_one(docs):
     assert top.count() == 8
     dominant = assign_topics(mixed, k=2)
     assert dominant.where("dominant_topic_probability < 0.5").count() == 0
+
+
+def test_fold_sums_give_the_models_of_single_folds(spark):
+    """Cross-validation from shared sums predicts what a model fitted on each fold's training rows predicts."""
+    from lexitally.functions.text import long_tokens
+    from lexitally.operators.models import naive_bayes, text_features
+    from lexitally.plans.folds import bayes_folds
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, y, [rng.choice(words[k * 8 : k * 8 + 25]) for _ in range(rng.randrange(0, 12))], i % 3) for i in range(60) for k, y in [(i % 2, "ab"[i % 2])]]
+    docs = spark.createDataFrame(rows, "post_id long, y string, tokens array<string>, fold long").withColumn("_terms", long_tokens("tokens"))
+    found = {(r.representation, r.fold, r.post_id): (r.actual, r.predicted) for r in bayes_folds(docs, "y", ["a", "b", "never"], 3).collect()}
+    want = {}
+    for fold in range(3):
+        parted = docs.withColumn("split", F.when(F.col("fold") == fold, "test").otherwise("train"))
+        for kind in ("bow", "tfidf"):
+            for r in naive_bayes(text_features(parted, kind, carry=["y"]), parted, "y", ["a", "b", "never"]).collect():
+                want[kind, fold, r.post_id] = r.y, r.predicted
+    assert found == want and len(found) == 120
