@@ -9,9 +9,10 @@ from lexitally.functions import text as X
 from lexitally.functions.labels import display_name
 from lexitally.functions.periods import window_name, window_rank
 from lexitally.operators import dedup as D
+from lexitally.operators.matching import in_windows, relevant_by_table
 from lexitally.operators.raters import annotation_template
 from lexitally.operators.reports import spaced
-from lexitally.operators.terms import with_tokens
+from lexitally.operators.terms import grouped_terms, top_n, with_tokens
 from lexitally.plans.modeling import clean_posts, number_posts
 from lexitally.sources.io import read_table
 
@@ -116,6 +117,22 @@ def relevance(spark, sf):
     return X.relevant_topics(clean(spark, sf).select("post_id", "text_clean"), "text_clean", KEYWORDS, WHOLE, 3).drop("text_clean")
 
 
+SQL_KEYWORDS = """
+cnt AS (SELECT topic, term, count(*) AS n FROM (SELECT topic, unnest(toks) AS term FROM prep) GROUP BY ALL),
+kw AS (SELECT topic, term AS keyword, length(term) < 4 AS whole FROM cnt QUALIFY row_number() OVER (PARTITION BY topic ORDER BY n DESC, term) <= 100),
+h AS (SELECT post_id, kw.topic, sum(CASE WHEN whole THEN len(list_filter(string_split(text_clean, ' '), lambda x: x = keyword))
+  ELSE (length(text_clean) - length(replace(text_clean, keyword, ''))) // length(keyword) END)::INTEGER AS keyword_hits FROM docs CROSS JOIN kw GROUP BY ALL)"""
+
+
+@query("B7_keyword_table", sql_with(SQL_CLEAN, SQL_KEYWORDS, "SELECT * FROM h WHERE keyword_hits >= 3"))
+def keyword_table(spark, sf):
+    """The most frequent terms of every language as a table of keywords; the short ones only count as whole words."""
+    docs = features(spark, sf)
+    counts = grouped_terms(docs.where("text_no_stopwords <> ''").select("topic", F.split("text_no_stopwords", " ").alias("t")), "t")
+    keywords = top_n(counts, 100, "tf").select("topic", F.col("term").alias("keyword"), (F.length("term") < 4).alias("whole_word"))
+    return relevant_by_table(docs.select("post_id", "text_clean"), "text_clean", keywords, 3).drop("text_clean")
+
+
 @query("B9_stop_word_removal", sql_with(SQL_CLEAN, "SELECT post_id, array_to_string(toks, ' ') AS text_no_stopwords, len(toks)::INTEGER AS word_count_no_stopwords FROM prep"))
 def stop_words(spark, sf):
     return features(spark, sf).select("post_id", "text_no_stopwords", "word_count_no_stopwords")
@@ -240,6 +257,21 @@ def time_windows(spark, sf):
     return hits(spark, sf).groupBy("window_name", "window_rank").agg(F.count(F.lit(1)).alias("count"))
 
 
+SQL_WINDOW_TABLE = """
+w AS (SELECT s_name AS window_name, 1704067200 + s_suppkey * 977 % 2000000 AS s, CASE WHEN s_suppkey % 10 = 0 THEN 3000000 ELSE (s_suppkey % 97) * 600 END AS n FROM supplier)
+SELECT window_name, count(*) AS count FROM events JOIN w ON epoch_us(ts) > s * 1000000 AND epoch_us(ts) < (s + n) * 1000000 GROUP BY ALL"""
+
+
+@query("C4_window_table", "WITH" + SQL_WINDOW_TABLE)
+def window_table(spark, sf):
+    """Events in overlapping windows of minutes to weeks, one window a supplier."""
+    key = F.col("s_suppkey")
+    start = F.lit(1_704_067_200) + key * 977 % 2_000_000
+    size = F.when(key % 10 == 0, 3_000_000).otherwise((key % 97) * 600)
+    windows = read_table(spark, sf, "supplier").select(F.col("s_name").alias("window_name"), start.alias("start"), (start + size).alias("end"))
+    return in_windows(read_table(spark, sf, "events").select("ts"), "ts", windows).groupBy("window_name").agg(F.count(F.lit(1)).alias("count"))
+
+
 @query("C2_first_seen", sql_with(SQL_HITS, "SELECT topic, post_id, window_rank, query_rank FROM hits QUALIFY row_number() OVER (PARTITION BY topic, post_id ORDER BY window_rank, query_rank, hit_rank) = 1"))
 def first_seen(spark, sf):
     seen = D.first_seen(hits(spark, sf), ["window_rank", "query_rank", "hit_rank"])
