@@ -20,9 +20,9 @@ chance of 4 in ten million, at 0.8 of one in a thousand million. Only classes th
   Between the classes of the rest collisions are counted, in blocks of bounded size;
   the first list that two classes share reports their components if they match in
   `MATCHES` coordinates or more, and in `ALL_MATCHES` with `MORE` others that are not
-  posted (both tests miss 4 in ten million at 0.75). Candidate component pairs are checked in full: each
-  class of one against all of the other, in blocks again. No pair inside a
-  component, and no pair below the threshold, ever becomes a row.
+  posted (both tests miss 4 in ten million at 0.75). Candidate component pairs are checked in full, blocks of components against
+  blocks of components inside tasks: a class travels once for a block of partners.
+  A pair of components is one row; no pair of classes ever is, and none inside a component.
 
 Hot lists and groups are cut into blocks by hash; a list of m classes of many
 components costs m^2 / 2 signature comparisons inside tasks, and m rows a block.
@@ -250,6 +250,61 @@ def checked(pairs, members, sets, block=BLOCK):
     return met.applyInPandas(linked, "g long, p long").distinct()
 
 
+def checked_in_blocks(pairs, members, sets, block=4 * BLOCK):
+    """(g, p): the pairs of components with a link between a class of one and one of the other, on their full sets.
+
+    Components are dealt into blocks of about `block` classes, large ones into several.
+    Two blocks meet in one task if any pair lies in them, and only components of such
+    pairs go there: a class travels once for a block of partners, however many partners
+    it has in it. Pairs of classes are made inside the task, never as rows.
+    """
+    parts = F.ceil(F.col("size") / block).cast("int")
+    sizes = members.groupBy("comp").agg(F.count("*").alias("size"))
+    paired = pairs.select(F.col("g").alias("comp")).unionByName(pairs.select(F.col("p").alias("comp"))).distinct()
+    sized = sizes.join(paired, "comp")
+    blocks = 1 + F.ceil(F.coalesce(sized.agg(F.sum("size")).scalar(), F.lit(0)) / block)
+    home = lambda part: F.pmod(F.xxhash64("comp", part), blocks).cast("int")
+    parts_of = sized.select("comp", parts.alias("_parts"))
+    lying = parts_of.select("comp", F.explode(F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda x: x)).alias("_part"))
+    lying = lying.select("comp", home("_part").alias("blk")).distinct()
+    met = (
+        pairs.join(lying.select(F.col("comp").alias("g"), F.col("blk").alias("i")), "g")
+        .join(lying.select(F.col("comp").alias("p"), F.col("blk").alias("j")), "p")
+    )
+    held = members.join(parts_of, "comp").withColumn("blk", home(F.pmod(F.xxhash64("cls"), F.col("_parts")).cast("int"))).select("cls", "comp", "blk").join(sets, "cls")
+
+    def side(name, at):
+        wanted = met.select(F.col(name).alias("comp"), "i", "j").distinct()
+        return wanted.withColumn("blk", F.col(at)).join(held, ["comp", "blk"]).select("i", "j", "comp", "shingles")
+
+    left = side("g", "i")
+    right = side("p", "j").withColumn("g", F.lit(None).cast("long")).unionByName(
+        met.select("i", "j", F.col("p").alias("comp"), F.lit(None).cast("binary").alias("shingles"), "g")
+    )
+
+    def linked(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        def sets_of(frame):
+            out = {}
+            for comp, packed in zip(frame["comp"], frame["shingles"]):
+                out.setdefault(comp, []).append(np.frombuffer(packed, np.uint64))
+            return out
+
+        listed = theirs["shingles"].isna()
+        mine, others = sets_of(ours), sets_of(theirs[~listed])
+        asked = {}
+        for g, p in zip(theirs.loc[listed, "g"], theirs.loc[listed, "comp"]):
+            asked.setdefault(int(g), []).append(p)
+        found = []
+        for g, ps in asked.items():
+            partners = [(p, own) for p in ps for own in others.get(p, ())]
+            found += [(g, p) for p in _near(mine[g], partners)] if g in mine else []
+        return pd.DataFrame({"g": [g for g, _ in found], "p": [p for _, p in found]}, dtype="int64")
+
+    # Both sides come from one table; fresh column identities keep them apart.
+    both = left.toDF(*left.columns).groupBy("i", "j").cogroup(right.toDF(*right.columns).groupBy("i", "j"))
+    return both.applyInPandas(linked, "g long, p long").distinct()
+
+
 def _near(sets, partners):
     """The partners (p, set) with a similarity of `PERCENT` or more to one of the sets."""
     if not partners:
@@ -309,7 +364,7 @@ def _groups(docs, rows, keep, id_col, text):
     )
     larger = F.col("_na") >= F.col("_nb")  # the larger component is the side that stays, its partners come to it
     pairs = sized.select(F.when(larger, F.col("a")).otherwise(F.col("b")).alias("g"), F.when(larger, F.col("b")).otherwise(F.col("a")).alias("p"))
-    between = keep(checked(keep(pairs, "pairs"), members, sets).select(F.col("g").alias("u"), F.col("p").alias("v")), "open-links")
+    between = keep(checked_in_blocks(keep(pairs, "pairs"), members, sets).select(F.col("g").alias("u"), F.col("p").alias("v")), "open-links")
     two = keep(connected_components(between).select(F.col("node").alias("comp"), F.col("component").alias("joined")), "joined-components")
     final = members.join(two, "comp", "left").select("cls", F.coalesce("joined", "comp").alias("comp"))
     labelled = final.join(classes.select("cls", "label", "digest"), "cls")

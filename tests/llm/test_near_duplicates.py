@@ -2,6 +2,7 @@ import random
 from itertools import combinations
 from math import comb
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,3 +119,33 @@ def test_candidate_tests_miss_less_than_one_in_a_million():
         for k in range(N.MATCHES, N.COORDINATES + 1) for j in range(max(0, N.ALL_MATCHES - k), N.MORE + 1)
     )
     assert 1 - found < 1e-6
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_blocks_of_components_find_the_links(spark, block):
+    """All components are paired with each other; blocks are larger or smaller than a component."""
+    rng = np.random.default_rng(1)
+
+    def links(groups, size=6):
+        base = rng.integers(1, 2**62, 40)
+        sets, members = [], []
+        for g in range(groups):
+            own = np.concatenate([base, rng.integers(1, 2**62, 6 if g % 5 else 60)])
+            for k in range(size):
+                members.append((len(sets), g * 1000))
+                sets.append(np.unique(np.concatenate([own, [g * 100 + k]]).astype(np.uint64)))
+        pairs = [(a * 1000, b * 1000) for a in range(groups) for b in range(a)]
+        want = set()
+        for a, b in pairs:
+            for x in (s for s, (_, c) in zip(sets, members) if c == a):
+                for y in (s for s, (_, c) in zip(sets, members) if c == b):
+                    common = len(np.intersect1d(x, y))
+                    if 100 * common >= 75 * (len(x) + len(y) - common):
+                        want.add((a, b))
+        frame = N.checked_in_blocks(
+            spark.createDataFrame(pairs, "g long, p long"), spark.createDataFrame(members, "cls long, comp long"),
+            spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "cls long, shingles binary"), block=block)
+        assert {(r.g, r.p) for r in frame.collect()} == want
+        return len(want)
+
+    assert links(5) > 0 and links(12) > 10
