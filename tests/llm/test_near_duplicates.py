@@ -127,7 +127,7 @@ def test_blocks_of_components_find_the_links(spark, block):
     rng = np.random.default_rng(1)
 
     def links(groups, size=6):
-        base = rng.integers(1, 2**62, 40)
+        base = rng.integers(1, 2**62, 60)
         sets, members = [], []
         for g in range(groups):
             own = np.concatenate([base, rng.integers(1, 2**62, 6 if g % 5 else 60)])
