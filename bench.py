@@ -1,7 +1,9 @@
 """Headline queries, timed: prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS the
-local cores. A few queries run untimed first, so that no figure holds the start
+local cores, BENCH_SHARED_DIR the folder for stage tables (default: the warehouse
+folder). With BENCH_DUCKDB=1 each query's SQL is timed too, on the same machine in the
+same run, as `duckdb`. A few queries run untimed first, so that no figure holds the start
 of the JVM. The stage table all text queries share is written next, under its
 own name; every query then runs once into a sink that drops its rows.
 """
@@ -9,10 +11,9 @@ own name; every query then runs once into a sink that drops its rows.
 import json
 import os
 import re
-import tempfile
 import time
 
-from catalog import QUERIES
+from catalog import ORACLE, QUERIES
 from catalog.tables import features
 from lexitally.session import build_session
 
@@ -42,13 +43,27 @@ HEADLINE = [
 WARM_UP = ["E1_group_count", "E6_monthly_share_of_topic", "B3_entity_decode", "E24_split_feasibility"]
 
 
+def _duckdb(folder, threads):
+    import duckdb
+
+    tables, found = duckdb.connect(), {}
+    tables.execute(f"SET threads = {threads}")
+    for file in os.listdir(folder):
+        tables.execute(f"CREATE VIEW {file.split('.')[0]} AS SELECT * FROM read_parquet('{folder}/{file}')")
+    for name in HEADLINE:
+        start = time.perf_counter()
+        tables.execute(f"CREATE OR REPLACE TEMP TABLE result AS {ORACLE[name]}")
+        found[name] = round(time.perf_counter() - start, 3)
+    return found
+
+
 def main():
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
         f"local[{cpus}]", "bench",
         **{"spark.driver.memory": "16g", "spark.sql.shuffle.partitions": str(2 * int(cpus)), "spark.ui.showConsoleProgress": "false",
-           "spark.checkpoint.dir": os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-")},
+           **({"spark.checkpoint.dir": os.environ["BENCH_SHARED_DIR"]} if "BENCH_SHARED_DIR" in os.environ else {})},
     )
     spark.sparkContext.setLogLevel("ERROR")
     timings = {}
@@ -63,12 +78,13 @@ def main():
     timed("stage_topic_features", lambda: features(spark, folder))
     for name in HEADLINE:
         timed(name, lambda: QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save())
+    other = _duckdb(folder, int(cpus)) if os.environ.get("BENCH_DUCKDB") else None
     scale = re.search(r"sf([0-9.]+)", folder)
     print(
         json.dumps(
             {
                 "metric": "headline_total_seconds", "value": round(sum(timings.values()), 3), "unit": "sec",
-                "queries": timings, "sf": float(scale.group(1)) if scale else None,
+                "queries": timings, "sf": float(scale.group(1)) if scale else None, **({"duckdb": other} if other else {}),
             }
         )
     )

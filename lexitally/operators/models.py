@@ -187,7 +187,7 @@ def _block_neighbours(id_col, k, cells=4_000_000):
         at, weight, holder = at[met], train_values[met], train_owner[met]
         starts = np.flatnonzero(np.diff(holder, prepend=-1))
         ids, keep, out = train[id_col].to_numpy(), min(k, len(train)), []
-        step = max(1, cells // max(len(at), len(vocab), 1))  # test rows at a time
+        step = max(1, cells // max(len(at), len(vocab), len(train), 1))  # test rows at a time
         for first in range(0, len(test), step):
             mine = (owner >= first) & (owner < first + step)
             some = np.arange(first, min(first + step, len(test)))
@@ -197,18 +197,22 @@ def _block_neighbours(id_col, k, cells=4_000_000):
             if len(starts):
                 dot[:, holder[starts]] = np.add.reduceat(table[:, at] * weight, starts, axis=1)
             d2 = np.round(length2[some, None] + train_length2 - 2 * dot, 9) + 0.0
-            for row, distances in zip(some, d2):
-                best = np.lexsort((ids, distances))[:keep] if len(ids) <= 4 * keep else _least(distances, ids, keep)
-                out.append(pd.DataFrame({"test_id": test[id_col].iloc[row], "train_id": ids[best], "distance2": distances[best]}))
-        return pd.concat(out, ignore_index=True)
+            out.append((test[id_col].to_numpy()[some], *_least(d2, ids, keep)))
+        return pd.DataFrame({
+            "test_id": np.concatenate([mine[row] for mine, row, _, _ in out]),
+            "train_id": np.concatenate([near for _, _, near, _ in out]), "distance2": np.concatenate([d for _, _, _, d in out]),
+        })
 
     return nearest
 
 
 def _least(distances, ids, keep):
-    """Places of the `keep` smallest distances, ties to the smaller id."""
-    near = np.flatnonzero(distances <= np.partition(distances, keep - 1)[keep - 1])
-    return near[np.lexsort((ids[near], distances[near]))[:keep]]
+    """(row, id, distance) of the `keep` smallest distances of every row, ties to the smaller id."""
+    row, at = np.nonzero(distances <= np.partition(distances, keep - 1, axis=1)[:, keep - 1 : keep])
+    order = np.lexsort((ids[at], distances[row, at], row))
+    row, at = row[order], at[order]
+    best = np.arange(len(row)) - np.searchsorted(row, row) < keep
+    return row[best], ids[at[best]], distances[row[best], at[best]]
 
 
 def knn(features, docs, label, classes, k=K.NEIGHBOURS, id_col=ID, split="split", **blocks):
