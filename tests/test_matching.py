@@ -80,3 +80,13 @@ def test_dense_ids_over_ranges_and_first_seen_with_ties(spark):
 def test_grouped_terms_counts_occurrences_and_documents(spark):
     docs = spark.createDataFrame([("t", ["a", "b", "a"]), ("t", ["a"]), ("u", ["b"]), ("u", [])], "topic string, tokens array<string>")
     assert sorted(map(tuple, grouped_terms(docs).collect())) == [("t", "a", 3, 2), ("t", "b", 1, 1), ("u", "b", 1, 1)]
+
+
+def test_small_tables_are_dealt_over_all_cores_and_others_left(spark, tmp_path):
+    from lexitally.session import spread
+
+    spark.range(1000).coalesce(1).write.parquet(f"file://{tmp_path}/one")
+    spark.range(1000).repartition(6).write.parquet(f"file://{tmp_path}/six")
+    one, six = (spark.read.parquet(f"file://{tmp_path}/{name}") for name in ("one", "six"))
+    assert spread(one).rdd.getNumPartitions() == 4 and spread(one).count() == 1000
+    assert spread(six) is six
