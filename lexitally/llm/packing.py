@@ -1,13 +1,15 @@
 """Harmonic packing of token sequences: reciprocal-capacity classes, filled independently by every task.
 
-A document's ids are cut into pieces of exactly capacity / j tokens, j = 1, 2,
-4, ... capacity: whole capacities first, then the binary digits of the rest, the
-largest first. Pieces of class j fill bins of exactly j pieces, so every full bin
-holds `capacity` tokens and no padding. Each task (one partition of the scan)
-fills its own bins: there is no shuffle, a task holds at most one open bin per
-class, and a lost task runs again by itself with the same result. At its end the
-open bins of all classes, largest pieces first, close into full bins and one
-last stretch shorter than the capacity, which is cut at powers of two, so it
+Whole capacities of a document are sequences of their own. What is left of it, r
+tokens, belongs to class k if capacity / (k + 1) < r <= capacity / k, and a bin of
+class k takes exactly k such rests. The gap of a bin that has them all is filled
+by the head of the next document, which is cut there and goes on with what
+remains: no full bin has padding, and a document is cut once for a gap and never
+otherwise. Each task (one partition of the scan) fills its own bins: there is no
+shuffle, a task holds at most one open bin per class (2 * sqrt(capacity) classes)
+and one that waits for its gap, and a lost task runs again by itself with the same
+result. At its end the open bins, largest rests first, are cut into full
+sequences, and one last stretch shorter than the capacity at powers of two, so it
 needs no padding either; that is at most log2(capacity) short sequences a task.
 
 Defined results: a null or empty text is the end id alone; a null id is carried
@@ -26,17 +28,6 @@ FLUSH = 4096
 SCHEMA = "{id} {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def cut(n, capacity=CAPACITY):
-    """Lengths of the pieces of `n` tokens, each a power-of-two fraction of the capacity."""
-    lengths = [capacity] * (n // capacity)
-    rest = n % capacity
-    while rest:
-        largest = 1 << (rest.bit_length() - 1)
-        lengths.append(largest)
-        rest -= largest
-    return lengths
-
-
 class HarmonicBins:
     """The bins of one task. `put` and `close` return the rows of bins that are complete.
 
@@ -47,6 +38,7 @@ class HarmonicBins:
         self.capacity = capacity
         self.next = first_sequence
         self.open = {}
+        self.waiting, self.gap = [], 0
 
     def _sequence(self, pieces):
         rows, offset = [], 0
@@ -56,27 +48,49 @@ class HarmonicBins:
         self.next += 1
         return rows
 
-    def put(self, piece):
-        waiting = self.open.setdefault(piece[2], [])
-        waiting.append(piece)
-        if len(waiting) * piece[2] < self.capacity:
-            return []
-        del self.open[piece[2]]
-        return self._sequence(waiting)
+    def put(self, key, ids):
+        """All ids of one document."""
+        total, start, rows = len(ids) // 4, 0, []
+        if self.gap:
+            length = start = min(self.gap, total)
+            self.waiting.append((key, 0, length, ids[: 4 * length], total))
+            self.gap -= length
+            if not self.gap:
+                rows = self._sequence(self.waiting)
+                self.waiting = []
+        while total - start >= self.capacity:
+            rows += self._sequence([(key, start, self.capacity, ids[4 * start : 4 * (start + self.capacity)], total)])
+            start += self.capacity
+        rest = total - start
+        if rest:
+            fit = self.capacity // rest
+            held = self.open.setdefault(fit, [])
+            held.append((key, start, rest, ids[4 * start :], total))
+            if len(held) == fit:
+                del self.open[fit]
+                gap = self.capacity - sum(p[2] for p in held)
+                if gap:
+                    self.waiting, self.gap = held, gap
+                else:
+                    rows += self._sequence(held)
+        return rows
 
     def close(self):
-        rows, current, held = [], [], 0
-        rest = sum(size * len(p) for size, p in self.open.items())
-        target = self._largest(rest)
-        for size in sorted(self.open, reverse=True):
-            for piece in self.open[size]:
-                current.append(piece)
-                held += size
-                if held == target:  # sizes fall and are powers of two, so every target is met exactly
+        left = self.waiting + [p for fit in sorted(self.open) for p in self.open[fit]]
+        self.open, self.waiting, self.gap = {}, [], 0
+        rest = sum(p[2] for p in left)
+        rows, current, room = [], [], self._largest(rest)
+        for key, start, length, ids, total in left:
+            at = 0
+            while at < length:
+                taken = min(room, length - at)
+                current.append((key, start + at, taken, ids[4 * at : 4 * (at + taken)], total))
+                at += taken
+                room -= taken
+                rest -= taken
+                if not room:
                     rows += self._sequence(current)
-                    rest -= held
-                    current, held, target = [], 0, self._largest(rest)
-        self.open = {}
+                    current, room = [], self._largest(rest)
         return rows
 
     def _largest(self, rest):
@@ -97,16 +111,11 @@ def pack(docs, tokenizer, id_col="doc_id", text="text", capacity=CAPACITY, end_i
 
     def filled(batches):
         bins = HarmonicBins(capacity, TaskContext.get().partitionId() << 40)
-        encode = encoder(tokenizer).encode
         done, schema = [], None
         for batch in batches:
             schema = pa.schema([batch.schema.field(0)] + FIELDS)
-            for key, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encode(words or "") + end
-                total, start = len(ids) // 4, 0
-                for length in cut(total, capacity):
-                    done += bins.put((key, start, length, ids[4 * start : 4 * (start + length)], total))
-                    start += length
+            for key, ids in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode_array(batch.column(1))):
+                done += bins.put(key, bytes(ids) + end)
                 if len(done) >= FLUSH:
                     yield _batch(done, schema)
                     done = []

@@ -2,9 +2,13 @@
 
 import os
 import re
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: A text may be cut before a space that a non-space follows: the tokenizer's own word pattern starts a word there,
 #: whatever stands before it, so segments encode alone as they do in the text.
@@ -14,6 +18,11 @@ _CUT = re.compile(r" (?=\S)")
 _INNER = re.compile(r"(?<=[^\W\d_])(?=[.,])|(?<=\S)(?=\n)|(?<=\S\n)(?=\S)")
 
 
+_SWAP = sys.byteorder != "little" or array("I").itemsize != 4
+#: Bytes of text whose segments are looked up together; bounds the memory of a worker (a longer text goes alone).
+_AT_ONCE = 8 << 20
+
+
 class SegmentEncoder:
     """Ids of a text as the tokenizers library gives them without special tokens.
 
@@ -35,7 +44,7 @@ class SegmentEncoder:
         self.words = {}
 
     def _bytes(self, texts):
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype="<u4").tobytes() if _SWAP else array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _segments(self, segments):
         """Ids of segments that are not known yet, from the ids of their words."""
@@ -66,6 +75,68 @@ class SegmentEncoder:
         known.update(zip(missing, self._segments(missing)))
         return self._bytes([first])[0] + b"".join([known[s] for s in rest])
 
+    def encode_array(self, texts):
+        """Ids of the texts of an Arrow string array, as a list of buffers of little-endian unsigned 32-bit integers."""
+        texts = texts.fill_null("")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _AT_ONCE, "right")))
+            yield from self._encode_slice(texts.slice(at, to - at))
+            at = to
+
+    def _encode_slice(self, texts):
+        """Every different segment is looked up once; the ids of the texts are gathered from theirs."""
+        whole = np.zeros(len(texts), bool)  # texts with the string of an added token
+        for a in self.added:
+            whole |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+        parts = pc.split_pattern(texts, " ")
+        segments = parts.flatten().dictionary_encode()
+        counts = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        firsts = np.cumsum(counts) - counts
+        place = segments.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        values = segments.dictionary.to_pylist()
+        # The first segment of a text has no space before it, and is encoded as it is.
+        openings = segments.dictionary.take(pa.array(place[firsts])).dictionary_encode()
+        place[firsts] = len(values) + openings.indices.to_numpy(zero_copy_only=False)
+        # Two spaces, or a space and other white space: the cut is not before every space there.
+        odd = np.array([not s or s[0].isspace() for s in values] + [False] * len(openings.dictionary))
+        if odd.any():
+            whole |= np.add.reduceat(odd[place], firsts) > 0
+        used = np.zeros(len(odd), bool)
+        used[place[np.repeat(~whole, counts)]] = True
+        ids = self._lookup(values, used.tolist()) + self._bytes(openings.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        lengths = sizes[place]
+        ends = np.cumsum(lengths)
+        gathered = memoryview(flat[np.repeat(starts[place] - ends + lengths, lengths) + np.arange(ends[-1])]).cast("B")
+        ends = 4 * ends[firsts + counts - 1]
+        at = 0
+        for i, (end, alone) in enumerate(zip(ends.tolist(), whole.tolist())):
+            yield self.encode(texts[i].as_py()) if alone else gathered[at:end]
+            at = end
+
+    def _lookup(self, segments, used):
+        """Ids of different segments, empty for those that no text uses."""
+        if len(self.known) > self.keep:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        found = [known.get(s) if u else b"" for s, u in zip(segments, used)]
+        missing, places = [], []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            s = segments[i]
+            old = before.get(s)
+            if old is None:
+                missing.append(s)
+                places.append(i)
+            else:
+                known[s] = found[i] = old
+        for i, s, ids in zip(places, missing, self._segments(missing)):
+            known[s] = found[i] = ids
+        return found
+
 
 @lru_cache(maxsize=4)
 def encoder(path):

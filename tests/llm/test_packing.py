@@ -2,13 +2,14 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from lexitally.llm.packing import HarmonicBins, cut, pack
+from lexitally.llm.packing import HarmonicBins, pack
 from lexitally.llm.tokens import SegmentEncoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,26 +32,69 @@ def test_line_feeds_in_later_segments():
         assert np.frombuffer(ours.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
-@settings(deadline=None, max_examples=50)
+def test_arrays_of_texts():
+    library = Tokenizer.from_file(PATH)
+    ours = SegmentEncoder(PATH, keep=50)
+    random.seed(8)
+    letters = "aZé.,1'\t\n \r\u3000\x1c日"
+    texts = ["", None, " ", "  a", "a  b", "one", "x<|endoftext|> y", "a b " * 300, "plain words, plain words.", "\u0000 a", "end ", "a \n b"]
+    texts += ["".join(random.choices(letters + " " * 8, k=random.randint(0, 40))) for _ in range(3000)]
+    for rows in (texts, texts[:1], [], [None]):
+        found = [np.frombuffer(x, "<u4").tolist() for x in ours.encode_array(pa.array(rows, pa.string()))]
+        assert found == [library.encode(t or "", add_special_tokens=False).ids for t in rows]
+    assert len(list(ours.encode_array(pa.array(texts, pa.large_string()).slice(3, 9)))) == 9
+
+
+def test_long_arrays_are_encoded_in_slices(monkeypatch):
+    from lexitally.llm import tokens
+
+    monkeypatch.setattr(tokens, "_AT_ONCE", 30)
+    ours, texts = SegmentEncoder(PATH), ["some words of a text", "and " * 50, "", "x", "more words"] * 4
+    assert [bytes(x) for x in ours.encode_array(pa.array(texts))] == [ours.encode(t) for t in texts]
+
+
+def packed_lengths(lengths, capacity):
+    bins, rows = HarmonicBins(capacity, 0), []
+    for key, n in enumerate(lengths):
+        rows += bins.put(key, np.arange(n, dtype="<u4").tobytes())
+    return rows + bins.close()
+
+
+@settings(deadline=None, max_examples=100)
 @given(st.lists(st.integers(1, 200), max_size=60))
 def test_bins_need_no_padding(lengths):
-    bins, rows = HarmonicBins(64, 0), []
-    for key, n in enumerate(lengths):
-        at = 0
-        for length in cut(n, 64):
-            rows += bins.put((key, at, length, b"", n))
-            at += length
-    rows += bins.close()
-    assert sum(r[2] for r in rows) == sum(lengths)
-    sequences = defaultdict(list)
-    for r in rows:
-        sequences[r[5]].append((r[6], r[2]))
+    rows = packed_lengths(lengths, 64)
+    sequences, documents = defaultdict(list), defaultdict(list)
+    for key, start, length, ids, total, sequence, offset in rows:
+        sequences[sequence].append((offset, length))
+        documents[key].append((start, length))
+        assert np.frombuffer(ids, "<u4").tolist() == list(range(start, start + length)) and total == lengths[key]
     for pieces in sequences.values():
         total = 0
         for offset, length in sorted(pieces):
             assert offset == total
             total += length
         assert total <= 64 and total & (total - 1) == 0
+    for key, n in enumerate(lengths):
+        at = 0
+        for start, length in sorted(documents[key]):
+            assert start == at and length > 0
+            at += length
+        assert at == n
+
+
+def test_documents_are_cut_for_gaps_only():
+    random.seed(9)
+    lengths = [random.randint(1, 2000) for _ in range(5000)]
+    rows = packed_lengths(lengths, 2048)
+    sequences = {r[5] for r in rows}
+    assert len(rows) <= len(lengths) + 2 * len(sequences)
+    classes = defaultdict(set)
+    for r in rows:
+        if r[2] == r[4]:
+            classes[r[5]].add(2048 // r[2])
+    # bins of uncut documents hold one class, but for the last ones and documents that are shorter than a gap
+    assert sum(len(c) == 1 for c in classes.values()) > 0.8 * len(classes)
 
 
 def test_documents(spark, odd, empty):
