@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lexitally import constants as K
 from lexitally.functions.text import _as_col
+from lexitally.operators.ordering import running_total
+from lexitally.session import stored
 
 
 def _counter(rows):
@@ -87,3 +89,22 @@ def in_windows(df, ts, windows, name="window_name"):
     left = left.withColumn("_level", F.explode("_levels")).withColumn("_bucket", F.expr("shiftright(_seconds, _level)"))
     met = left.join(right, ["_level", "_bucket"]).where("_micros > _start * 1000000 AND _micros < _end * 1000000")
     return met.select(*[c for c in df.columns if c != name], F.col("_name").alias(name))
+
+
+def count_in_windows(df, ts, windows, name="window_name", store=stored):
+    """Rows per window whose timestamp it holds, for a table of windows as in `in_windows`: (name, count), counts above 0.
+
+    A row and a window never meet: a window's count is the rows before its end less those
+    up to its start, both read from one running total over the distinct instants. So the
+    work grows with rows plus windows, not with the matches. Windows of one name are summed.
+    """
+    usable = windows.where(F.col("end") > F.col("start")).select(
+        F.col(name).alias("_name"), (F.col("start").cast("long") * 1_000_000 + 1).alias("_from"), (F.col("end").cast("long") * 1_000_000).alias("_to")
+    )
+    edges = F.inline(F.array(F.struct(F.col("_from").alias("_at"), F.lit(-1).alias("_sign")), F.struct(F.col("_to").alias("_at"), F.lit(1).alias("_sign"))))
+    bounds = usable.select("_name", edges)
+    micros = F.unix_micros(F.col(ts).cast("timestamp")).alias("_at")
+    instants = df.select(micros, F.lit(1).cast("long").alias("_n")).where("_at IS NOT NULL").unionByName(bounds.select("_at", F.lit(0).cast("long").alias("_n")))
+    before = running_total(store(instants.groupBy("_at").agg(F.sum("_n").alias("_n")), "instants"), "_at", "_n", "_before")
+    counted = bounds.join(before.select("_at", "_before"), "_at").groupBy(F.col("_name").alias(name)).agg(F.sum(F.col("_sign") * F.col("_before")).alias("count"))
+    return counted.where(F.col("count") > 0)

@@ -2,12 +2,13 @@
 
 import random
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from lexitally.functions.text import keyword_hits
-from lexitally.operators.matching import _counter, in_windows, relevant_by_table
+from lexitally.operators.matching import _counter, count_in_windows, in_windows, relevant_by_table
 from lexitally.operators.dedup import dense_id, first_seen
 from lexitally.operators.stats import expected_counts
 from lexitally.operators.terms import grouped_terms
@@ -61,6 +62,22 @@ def test_many_overlapping_windows(spark):
     assert in_windows(events, "ts", table.where("false")).count() == 0
 
 
+def test_window_counts_without_meeting_rows(spark):
+    rng = random.Random(3)
+    windows = [(f"w{i % 300}", s, s + rng.choice([0, -5, 1, 2, 60, 3600, 10**7])) for i in range(400) for s in [rng.randrange(-10**6, 10**7)]] + [("none", None, 5), (None, 0, 10**7)]
+    seconds = [rng.randrange(-2 * 10**6, 2 * 10**7) + rng.choice([0.0, 0.000001, 0.5]) for _ in range(60)] + [float(t) for w in windows[:20] for t in w[1:]] * 2
+    events = spark.createDataFrame([(s,) for s in [*seconds, None]], "s double").select(F.timestamp_micros(F.round(F.col("s") * 1_000_000).cast("long")).alias("ts"))
+    table = spark.createDataFrame(windows, "window_name string, start long, end long")
+    found = count_in_windows(events, "ts", table)
+    want = Counter(n for s in seconds for n, a, b in windows if a is not None and a < round(s * 10**6) / 10**6 < b)
+    assert {r["window_name"]: r["count"] for r in found.collect()} == want and len(want) > 50
+    assert count_in_windows(events, "ts", table.where("false")).count() == 0
+    # Every window holds every row here; a row per match would be far more than these.
+    many = events.crossJoin(spark.range(2000).select()).select("ts")
+    wide = spark.range(2000).select(F.col("id").cast("string").alias("window_name"), (-F.col("id") - 10**7).alias("start"), (F.col("id") + 10**8).alias("end"))
+    assert {r["count"] for r in count_in_windows(many, "ts", wide).collect()} == {2000 * len(seconds)}
+
+
 def test_expected_counts_of_many_rows(spark):
     counts = spark.range(20_000).select((F.col("id") % 5000).alias("r"), F.when(F.col("id") % 7 < 3, "x").otherwise("y").alias("c"))
     found = expected_counts(counts, "r", "c", ["x", "y", "z"])
