@@ -2,9 +2,11 @@
 
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,6 +265,38 @@ def test_nearest_neighbours_match_brute_force(parted, blocks):
         assert [i for _, i in sorted(found[d.post_id])] == [i for _, i in sorted(order)[:5]]
 
 
+def _documents(rng, n, words, first_id):
+    codes = [np.unique(words(rng)) for _ in range(n)]
+    return pd.DataFrame({"id": np.arange(first_id, first_id + n), "codes": codes, "values": [rng.integers(1, 4, len(c)).astype(float) for c in codes]})
+
+
+def test_blocks_of_neighbours_with_common_and_rare_terms():
+    rng = np.random.default_rng(4)
+    words = lambda r: np.concatenate([r.integers(0, 6, r.integers(0, 5)), r.integers(6, 400, r.integers(0, 9))])
+    test, train = _documents(rng, 60, words, 0), _documents(rng, 150, words, 1000)
+    dense = [np.zeros((len(side), 400)) for side in (test, train)]
+    for table, side in zip(dense, (test, train)):
+        for i, (c, v) in enumerate(zip(side["codes"], side["values"])):
+            table[i, c] = v
+    d2 = ((dense[0][:, None] - dense[1]) ** 2).sum(axis=2)
+    want = {(i, 1000 + int(j), d2[i, j]) for i in range(60) for j in np.lexsort((np.arange(150), d2[i]))[:5]}
+    for options in ({}, {"cells": 500}, {"common": 0.0}, {"common": 2.0}):
+        found = L._block_neighbours("id", 5, **options)(test, train)
+        assert set(found.itertuples(index=False, name=None)) == want
+
+
+def test_distances_cost_what_documents_share():
+    def cost(length):
+        rng = np.random.default_rng(5)
+        test, train = (_documents(rng, n, lambda r: r.integers(0, 1_000_000, length), at) for n, at in ((400, 0), (3000, 1000)))
+        start = time.process_time()
+        L._block_neighbours("id", 5)(test, train)
+        return time.process_time() - start
+
+    cost(2)
+    assert cost(300) < 8 * cost(2) + 0.5
+
+
 def test_forest_predicts_every_test_row(parted):
     vectors = L.vectorise(parted.withColumn("_terms", long_tokens("tokens")), "tfidf")
     guess = L.random_forest(vectors, "topic", trees=5, weighted=True, max_depth=5)
