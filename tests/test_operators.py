@@ -265,6 +265,22 @@ def test_nearest_neighbours_match_brute_force(parted, blocks):
         assert [i for _, i in sorted(found[d.post_id])] == [i for _, i in sorted(order)[:5]]
 
 
+def test_ngram_ranges_from_one_count_are_the_features_of_each(parted):
+    spans = [(1, 1), (2, 2), (1, 2)]
+    found = L.ngram_features(parted, spans, carry=["topic"])
+    for span in spans:
+        want = L.text_features(parted, "tfidf", span, carry=["topic"])
+        rows = [{(r.post_id, r.split, r.topic, r.term): round(r.value, 9) for r in table.collect()} for table in (found[span], want)]
+        assert rows[0] == rows[1] and len(rows[0]) > 50
+
+
+def test_features_shuffle_documents_and_not_their_terms(parted):
+    parted = parted.sparkSession.createDataFrame(parted.select("post_id", "split", "topic", "tokens").collect())
+    plan = L.text_features(parted, "bow", carry=["topic"])._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    pairs = [line for line in plan.splitlines() if "Exchange hashpartitioning(post_id" in line]
+    assert pairs and not any("term" in line for line in pairs)
+
+
 def _documents(rng, n, words, first_id):
     codes = [np.unique(words(rng)) for _ in range(n)]
     return pd.DataFrame({"id": np.arange(first_id, first_id + n), "codes": codes, "values": [rng.integers(1, 4, len(c)).astype(float) for c in codes]})
