@@ -14,11 +14,15 @@ Defined results: a null or empty text has no ids; equal rows give equal rows; an
 empty table gives an empty result; lone surrogates cannot occur in Spark strings.
 """
 
+import gc
 import heapq
 import re
 import struct
 from array import array
+from contextlib import contextmanager
 from functools import lru_cache
+from itertools import repeat
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -196,7 +200,7 @@ class PieceCodec:
         if len(parts) > 48:
             return self._merge_long(parts)
         none = self.none
-        pairs = [rank.get(a + b, none) for a, b in zip(parts, parts[1:])]
+        pairs = list(map(rank.get, map(add, parts, parts[1:]), repeat(none)))
         while pairs and (best := min(pairs)) < none:
             i = pairs.index(best)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
@@ -252,10 +256,15 @@ class PieceCodec:
     def _segment(self, source):
         """(ids, source bytes per piece) of a source segment, both as packed 32-bit integers."""
         # Cutting out what never merges only makes parts repeat more often; plain words are not worth the search.
-        parts = [source] if source[1:].isalpha() else self.alone.split(source)
         if len(self.small) > self.keep:
             self.small, self.small_before = {}, self.small
         small = self.small
+        if source[1:].isalpha():
+            found = small.get(source)
+            if found is None:
+                found = small[source] = self.small_before.get(source) or self._part(source)
+            return array("i", found[0]).tobytes(), array("i", found[1]).tobytes()
+        parts = self.alone.split(source)
         ids, sizes = [], []
         for part in parts:
             if not part:
@@ -271,7 +280,13 @@ class PieceCodec:
         """(ids, source bytes per piece) of a run of text without a cut."""
         ids, sizes, known = [], [], self.ids
         at, narrow = 0, part.isascii()
-        for piece in self.merge(part.replace(" ", META)):
+        pieces = self.merge(part.replace(" ", META))
+        if narrow:
+            ids = list(map(known.get, pieces))
+            if None not in ids:
+                return ids, list(map(len, pieces))
+            ids = []
+        for piece in pieces:
             n = len(piece)
             covered = n if narrow else len(part[at : at + n].encode())
             at += n
@@ -288,20 +303,25 @@ class PieceCodec:
     #: A cut before a space after something else than white space: pieces hold white space in front only.
     CUT = re.compile(f"(?<=[^ {META}]) ")
 
+    def _cut(self, text):
+        """The text cut at `CUT`; without repeated white space, that is at every space but a leading one."""
+        if "  " in text or META in text or text.startswith(" "):
+            return self.CUT.split(text)
+        return text.split(" ")
+
     def _encode_plain(self, text):
-        first, *rest = self.CUT.split(text)
+        first, *rest = self._cut(text)
         if len(self.known) > self.keep:
             self.known, self.before = {}, self.known
         known, before = self.known, self.before
-        for s in set(rest):
-            if s not in known:
-                known[s] = before.get(s) or self._segment(" " + s)
-        parts = [known[s] for s in rest]
+        for s in set(rest).difference(known):
+            known[s] = before.get(s) or self._segment(" " + s)
+        all_ids, all_sizes = zip(*map(known.__getitem__, rest)) if rest else ((), ())
         ids, sizes = self._segment(" " + first)
         sizes = np.frombuffer(sizes, np.int32).copy()
         sizes[0] -= 1  # the prefix stands for no source byte
-        ends = np.concatenate([sizes, np.frombuffer(b"".join([p[1] for p in parts]), np.int32)])
-        return np.frombuffer(ids + b"".join([p[0] for p in parts]), np.int32), np.cumsum(ends, dtype=np.int32)
+        ends = np.concatenate([sizes, np.frombuffer(b"".join(all_sizes), np.int32)])
+        return np.frombuffer(ids + b"".join(all_ids), np.int32), np.cumsum(ends, dtype=np.int32)
 
     def encode(self, text):
         """(ids, ends): piece i covers the source bytes from the end before it (from 0) to ends[i]."""
@@ -331,6 +351,18 @@ class PieceCodec:
             return data.decode("utf-8", errors="replace")
 
 
+@contextmanager
+def no_cycle_search():
+    """Hold Python's search for reference cycles: encoding makes none, and a search walks all kept segments."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 @lru_cache(maxsize=4)
 def codec(path):
     """One codec per worker process and model file."""
@@ -353,7 +385,8 @@ def encode_documents(docs, model, id_col="doc_id", text="text", decoded=False):
             texts = batch.column(1)
             step = 512  # rows per output batch: bounds what a worker holds beside its input
             for start in range(0, batch.num_rows, step):
-                ids, ends = zip(*[tool.encode(t) for t in texts.slice(start, step).to_pylist()])
+                with no_cycle_search():
+                    ids, ends = zip(*[tool.encode(t) for t in texts.slice(start, step).to_pylist()])
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32))
                 columns = [
                     batch.column(0).slice(start, step),

@@ -1,3 +1,4 @@
+import gc
 import random
 
 import pytest
@@ -66,3 +67,25 @@ def test_documents(spark, odd, empty, library):
         (False, d, library.encode(t), library.decode(library.encode(t))) for d, t in zip([r.doc_id for r in odd.collect()], texts) if d is not None
     )
     assert M.encode_documents(empty, MODEL).count() == 0
+
+
+def test_encoding_does_not_search_for_cycles():
+    found = []
+    watch = lambda phase, info: found.append(info["generation"])
+    codec = M.PieceCodec(MODEL)
+    texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}x{i}y" for i in range(n, n + 500)) for n in range(0, 10_000, 500)]
+    gc.callbacks.append(watch)
+    try:
+        with M.no_cycle_search():
+            for text in texts:
+                codec.encode(text)
+            assert not found
+    finally:
+        gc.callbacks.remove(watch)
+    assert gc.isenabled()
+
+
+def test_cuts_are_those_of_the_pattern():
+    codec = M.PieceCodec(MODEL)
+    for text in [*odd_texts(), "a b", "a b ", " a b", "a\tb c", "a b  c"]:
+        assert codec._cut(text) == codec.CUT.split(text), text
