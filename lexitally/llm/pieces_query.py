@@ -15,5 +15,5 @@ def op3(spark, sf):
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.coalesce(F.element_at("ends", -1), F.lit(0)).cast("long").alias("n_bytes"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_bytes"),
     )

@@ -89,3 +89,12 @@ def test_cuts_are_those_of_the_pattern():
     codec = M.PieceCodec(MODEL)
     for text in [*odd_texts(), "a b", "a b ", " a b", "a\tb c", "a b  c"]:
         assert codec._cut(text) == codec.CUT.split(text), text
+
+
+def test_query_takes_null_and_empty_texts(spark, tmp_path, library):
+    from lexitally.llm.pieces_query import op3
+
+    rows = [(1, None), (2, ""), (3, "a word")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: (r.n_tokens, r.n_bytes) for r in op3(spark, str(tmp_path)).collect()}
+    assert found == {1: (0, 0), 2: (0, 0), 3: (len(library.encode("a word")), 6)}
