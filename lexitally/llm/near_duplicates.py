@@ -16,13 +16,16 @@ chance of 4 in ten million, at 0.8 of one in a thousand million. Only classes th
   against the hubs it meets most, so a group of many near copies takes as many
   checks as it has members. Links found give first components;
 - a list whose classes are now in one component is done. In the others a component
-  with `MANY` classes or more is one row and a candidate for all others in the list.
+  with `MANY` classes or more is one row and a candidate for all others in the list;
+  these pairs are checked in full, blocks of components against blocks of components
+  inside tasks: a class travels once for a block of partners.
   Between the classes of the rest collisions are counted, in blocks of bounded size;
-  the first list that two classes share reports their components if they match in
-  `MATCHES` coordinates or more, and in `ALL_MATCHES` with `MORE` others that are not
-  posted (both tests miss 4 in ten million at 0.75). Candidate component pairs are checked in full, blocks of components against
-  blocks of components inside tasks: a class travels once for a block of partners.
-  A pair of components is one row; no pair of classes ever is, and none inside a component.
+  the first list that two classes share counts their components as candidates if they
+  match in `MATCHES` coordinates or more, and in `ALL_MATCHES` with `MORE` others that are
+  not posted (both tests miss 4 in ten million at 0.75). All components of a group may be
+  candidates for each other without one link, so these pairs are never rows: a task
+  reports a spanning forest of them, components of the forest are clusters, and in a
+  cluster all are checked against all in full, blocks against blocks inside tasks.
 
 Hot lists and groups are cut into blocks by hash; a list of m classes of many
 components costs m^2 / 2 signature comparisons inside tasks, and m rows a block.
@@ -141,9 +144,31 @@ def _block(key, n, size):
     return blocks, F.pmod(F.xxhash64(key), blocks).cast("int")
 
 
+class _Forest:
+    """Spanning edges of what has been joined so far."""
+
+    def __init__(self):
+        self.parent, self.edges = {}, []
+
+    def root(self, x):
+        while (up := self.parent.setdefault(x, x)) != x:
+            self.parent[x] = x = self.parent.setdefault(up, up)
+        return x
+
+    def join(self, a, others):
+        for b in others:
+            x, y = self.root(a), self.root(b)
+            if x != y:
+                self.parent[max(x, y)] = min(x, y)
+                self.edges.append((a, b))
+
+
 def open_pairs(postings, classes, component, matches=MATCHES, block=2 * BLOCK):
-    """(a, b): pairs of components with classes that agree in `matches` coordinates or more.
+    """(a, b, whole): candidate pairs of components.
 
+    whole: all pairs of a component with many classes in a list and another one there.
+    The others are spanning edges of the pairs with classes that agree in `matches`
+    coordinates or more: such components are connected by edges, not each pair has one.
     component: (cls, comp) of the classes that are in one with others.
     """
     short = F.transform("keys", lambda k: F.shiftright(k, 16).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
@@ -182,7 +207,7 @@ def open_pairs(postings, classes, component, matches=MATCHES, block=2 * BLOCK):
                 row[first] = True
         new = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         edges = np.concatenate([[0], np.flatnonzero(new) + 1, [len(frame)]])
-        found = set()
+        found, forest = set(), _Forest()
         for low, high in zip(edges[:-1], edges[1:]):
             same_block = i[low] == j[low]
             few = low + int(np.searchsorted(whole[low:high], True))  # single classes first, then whole components
@@ -203,11 +228,12 @@ def open_pairs(postings, classes, component, matches=MATCHES, block=2 * BLOCK):
                     near = np.flatnonzero(near)
                     # Of the lists that two classes share, the one of the first coordinate reports them.
                     both = equal[near, :COORDINATES] & prefix[start + near] & prefix[at]
-                    found.update((comp[at], c) for c in comp[start + near[both.argmax(axis=1) == pos[at]]])
+                    forest.join(int(comp[at]), np.unique(comp[start + near[both.argmax(axis=1) == pos[at]]]).tolist())
         found = sorted(found)
-        return pd.DataFrame({"a": [a for a, _ in found], "b": [b for _, b in found]}, dtype="int64")
+        rows = pd.DataFrame(found + forest.edges, columns=["a", "b"], dtype="int64")
+        return rows.assign(whole=np.arange(len(rows)) < len(found))
 
-    return spread.fillna(0, ["pos", "n_shingles"]).groupBy("bucket").applyInPandas(counted, "a long, b long").distinct()
+    return spread.fillna(0, ["pos", "n_shingles"]).groupBy("bucket").applyInPandas(counted, "a long, b long, whole boolean").distinct()
 
 
 def checked(pairs, members, sets, block=BLOCK):
@@ -305,23 +331,82 @@ def checked_in_blocks(pairs, members, sets, block=4 * BLOCK):
     return both.applyInPandas(linked, "g long, p long").distinct()
 
 
+def checked_in_clusters(edges, members, sets, keep, block=4 * BLOCK):
+    """(g, p): spanning edges of the links between the components of a cluster, on their full sets.
+
+    edges: (a, b), whose connected components are the clusters. Components are dealt into
+    blocks of about `block` classes, one with more classes into blocks of its own; every
+    two blocks of a cluster meet in one task, but for two of the same component.
+    """
+    cluster = keep(connected_components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("comp"), F.col("component").alias("cluster")), "clusters")
+    sizes = members.join(cluster, "comp").groupBy("cluster", "comp").agg(F.count("*").alias("size"))
+    large = F.col("size") > block
+    small = sizes.groupBy("cluster").agg(F.ceil(F.sum(F.when(large, 0).otherwise(F.col("size"))) / block).cast("int").alias("_blocks"))
+    homes = sizes.join(small, "cluster").select(
+        "cluster", "comp", F.when(large, F.col("comp")).otherwise(-1).alias("own"), F.when(large, F.ceil(F.col("size") / block).cast("int")).alias("_parts"), "_blocks",
+    )
+    at = F.coalesce(F.pmod(F.xxhash64("cls"), F.col("_parts")), F.pmod(F.xxhash64("comp"), F.col("_blocks"))).cast("int")
+    held = members.join(homes, "comp").select("cluster", "cls", "comp", F.struct("own", at.alias("at")).alias("blk"))
+    held = keep(held, "cluster-members")
+    blocks = held.select("cluster", "blk").distinct()
+    met = blocks.withColumnRenamed("blk", "i").join(blocks.select(F.col("cluster").alias("_c"), F.col("blk").alias("j")), (F.col("cluster") == F.col("_c")) & (F.col("i") <= F.col("j"))).drop("_c")
+    met = met.where((F.col("i.own") == -1) | (F.col("i.own") != F.col("j.own")))
+    met = met.withColumn("bucket", F.pmod(F.xxhash64("cluster", "i", "j"), 1 + F.ceil(row_count(held) / BUCKET)))
+    sides = F.when(F.col("i") == F.col("j"), F.array(F.struct(F.col("i").alias("blk"), F.lit(3).alias("side")))).otherwise(
+        F.array(F.struct(F.col("i").alias("blk"), F.lit(1).alias("side")), F.struct(F.col("j").alias("blk"), F.lit(2).alias("side")))
+    )
+    places = met.select("cluster", "bucket", F.xxhash64("i", "j").alias("task"), F.inline(sides))
+    rows = places.join(held.join(sets, "cls"), ["cluster", "blk"]).select("bucket", "cluster", "task", "side", "comp", "shingles")
+
+    def linked(frame: pd.DataFrame) -> pd.DataFrame:
+        """All pairs of blocks in a bucket, one after the other."""
+        forest = _Forest()
+        for _, met in frame.groupby(["cluster", "task"]):
+            left, right = met[met["side"] != 2], met[met["side"] != 1]
+            _link(forest, left["comp"].to_numpy(), _sets(left), right["comp"].to_numpy(), _sets(right))
+        return pd.DataFrame(forest.edges, columns=["g", "p"], dtype="int64")
+
+    return rows.groupBy("bucket").applyInPandas(linked, "g long, p long").distinct()
+
+
+def _sets(frame):
+    return [np.frombuffer(packed, np.uint64) for packed in frame["shingles"]]
+
+
+def _index(sets):
+    """(sizes, shingles in order, the set of each)."""
+    size = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    return size, flat[order], owner[order]
+
+
+def _similar(index, own):
+    """Which sets of an index have a similarity of `PERCENT` or more to the set `own`."""
+    size, flat, owner = index
+    low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+    n = high - low
+    hit = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+    common = np.bincount(owner[hit], minlength=len(size))
+    return 100 * common >= PERCENT * (size + len(own) - common)
+
+
+def _link(forest, comps, sets, other_comps, others):
+    """Join the components of similar sets, in a forest."""
+    if not sets or not others:
+        return
+    index = _index(sets)
+    for comp, own in zip(other_comps.tolist(), others):
+        forest.join(comp, np.unique(comps[_similar(index, own)]).tolist())
+
+
 def _near(sets, partners):
     """The partners (p, set) with a similarity of `PERCENT` or more to one of the sets."""
     if not partners:
         return set()
-    size = np.array([len(s) for s in sets])
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
-    order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
-    found = set()
+    index, found = _index(sets), set()
     for p, own in partners:
-        if p in found:
-            continue
-        low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
-        n = high - low
-        hit = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        common = np.bincount(owner[hit], minlength=len(sets))
-        if (100 * common >= PERCENT * (size + len(own) - common)).any():
+        if p not in found and _similar(index, own).any():
             found.add(p)
     return found
 
@@ -359,12 +444,13 @@ def _groups(docs, rows, keep, id_col, text):
     members = alone.select("cls").join(one, "cls", "left").select("cls", F.coalesce("comp", "cls").alias("comp"))
     size = members.groupBy("comp").agg(F.count("*").alias("n"))
     found = keep(open_pairs(postings, classes, one), "open-pairs")
-    sized = found.join(size.withColumnRenamed("comp", "a").withColumnRenamed("n", "_na"), "a").join(
+    sized = found.where("whole").join(size.withColumnRenamed("comp", "a").withColumnRenamed("n", "_na"), "a").join(
         size.withColumnRenamed("comp", "b").withColumnRenamed("n", "_nb"), "b"
     )
     larger = F.col("_na") >= F.col("_nb")  # the larger component is the side that stays, its partners come to it
     pairs = sized.select(F.when(larger, F.col("a")).otherwise(F.col("b")).alias("g"), F.when(larger, F.col("b")).otherwise(F.col("a")).alias("p"))
-    between = keep(checked_in_blocks(keep(pairs, "pairs"), members, sets).select(F.col("g").alias("u"), F.col("p").alias("v")), "open-links")
+    links = checked_in_blocks(keep(pairs, "pairs"), members, sets).unionByName(checked_in_clusters(found.where("NOT whole"), members, sets, keep))
+    between = keep(links.select(F.col("g").alias("u"), F.col("p").alias("v")), "open-links")
     two = keep(connected_components(between).select(F.col("node").alias("comp"), F.col("component").alias("joined")), "joined-components")
     final = members.join(two, "comp", "left").select("cls", F.coalesce("joined", "comp").alias("comp"))
     labelled = final.join(classes.select("cls", "label", "digest"), "cls")

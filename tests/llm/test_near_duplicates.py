@@ -149,3 +149,54 @@ def test_blocks_of_components_find_the_links(spark, block):
         return len(want)
 
     assert links(5) > 0 and links(12) > 10
+
+
+def test_similar_texts_without_links_make_few_rows(spark, tmp_path):
+    """All are candidates for each other and none is linked: rows grow with the texts, not with their pairs."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    rows = [(i, " ".join(base[:165] + [f"x{rng.randrange(10**6)}" for _ in range(35)])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = N.signed(docs, "doc_id", "text").withColumnRenamed("id", "cls")
+    kept = iter(range(9))
+
+    def keep(frame, name):
+        path = f"{tmp_path}/{name}-{next(kept)}"
+        frame.write.parquet(path)
+        return spark.read.parquet(path)
+
+    signed = keep(signed, "signed")
+    found = N.open_pairs(keep(N.prefix_postings(signed, keep), "postings"), signed, spark.createDataFrame([], "cls long, comp long")).collect()
+    assert not any(100 * len(shingles(a) & shingles(b)) >= 75 * len(shingles(a) | shingles(b)) for (_, a), (_, b) in combinations(rows, 2))
+    assert 40 < len(found) < 4 * len(rows)
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_clusters_find_the_links(spark, tmp_path, block):
+    rng = np.random.default_rng(1)
+    base = rng.integers(1, 2**62, 60)
+    sets, members = [], []
+    for g in range(12):
+        own = np.concatenate([base, rng.integers(1, 2**62, 60 if g % 3 else 6)])
+        for k in range(1 + 5 * (g % 2)):
+            members.append((len(sets), g * 1000))
+            sets.append(np.unique(np.concatenate([own, [g * 100 + k]]).astype(np.uint64)))
+    group = {g * 1000: g * 1000 for g in range(12)}
+    for (a, x), (b, y) in combinations(zip((c for _, c in members), sets), 2):
+        common = len(np.intersect1d(x, y))
+        if 100 * common >= 75 * (len(x) + len(y) - common) and group[a] != group[b]:
+            low, high = sorted((group[a], group[b]))
+            group = {k: low if v == high else v for k, v in group.items()}
+
+    def keep(frame, name):
+        frame.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    found = N.checked_in_clusters(
+        spark.createDataFrame([(a * 1000, a * 1000 + 1000) for a in range(11)], "a long, b long"), spark.createDataFrame(members, "cls long, comp long"),
+        spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "cls long, shingles binary"), keep, block).collect()
+    linked = {k: k for k in group}
+    for r in found:
+        low, high = sorted((linked[r.g], linked[r.p]))
+        linked = {k: low if v == high else v for k, v in linked.items()}
+    assert linked == group and len(set(group.values())) < 12
