@@ -3,7 +3,10 @@
 from collections import Counter, defaultdict
 from math import isclose, log, sqrt
 
+from lexitally.functions.text import long_tokens
 from lexitally.operators import models as L
+from lexitally.operators.blocks import weighted_terms
+from lexitally.session import stored
 
 ROWS = [(1, "train", "a", ["aa", "bb", "aa", "x"]), (2, "train", "b", ["bb", "cc"]), (2, "test", "b", ["aa", "bb", "cc"]), (None, "train", "a", ["cc", "aa", "bb"]),
         (None, "train", "a", ["cc", None]), (5, "test", "a", ["dd", "aa"]), (6, "train", "b", None), (7, "train", "b", [])]
@@ -35,14 +38,20 @@ def same(features, wanted):
 
 def test_no_row_a_document_and_term_meets_the_vocabulary(spark):
     docs = spark.createDataFrame(ROWS, "post_id long, split string, topic string, tokens array<string>").repartition(3)
-    features = L.text_features(docs, "tfidf", carry=["topic"])
-    assert "Window" not in features._jdf.queryExecution().executedPlan().toString()
-    same(features, expected(1, 1, False))
-    same(L.text_features(docs, "bow", (1, 2), carry=["topic"]), expected(1, 2, True))
+    plans = []
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    features = L.ngram_features(docs, {(1, 1)}, carry=["topic"], store=watched)
+    assert plans and "Window" not in plans[0]
+    same(features[1, 1], expected(1, 1, False))
+    same(weighted_terms(docs.withColumn("tokens", long_tokens("tokens")), ("post_id", "split", "topic"), "tokens", [(1, 2)], True, max_df=0.9).withColumnRenamed("v12", "value"), expected(1, 2, True))
 
 
 def test_ranges_share_counts_but_not_lengths(spark):
     docs = spark.createDataFrame(ROWS, "post_id long, split string, topic string, tokens array<string>").repartition(3)
     for (a, b), features in L.ngram_features(docs, {(1, 1), (2, 2), (1, 2)}, carry=["topic"]).items():
         same(features, expected(a, b, False))
-    same(L.text_features(docs.where("false"), "tfidf", carry=["topic"]), {})
+    same(L.ngram_features(docs.where("false"), {(1, 1)}, carry=["topic"])[1, 1], {})
